@@ -24,7 +24,9 @@ DATE_FORMATS = ("yyyy-MM-dd", "dd/MM/yyyy", "MM/dd/yyyy", "yyyy/MM/dd")
 
 _TOKEN = re.compile(r"'[^']*'|([A-Za-z])\1*|.")
 _DIGITS = {
-    "yyyy": "[+-]?[0-9]{4,}",
+    # Years to 289999. Spark's parse, try_ variants included, fails the job on a year outside
+    # the range of the type (from 290309), so such texts must not reach it.
+    "yyyy": "[+-]?(?:[0-9]{4,5}|1[0-9]{5}|2[0-8][0-9]{4})",
     **dict.fromkeys(("MM", "dd", "HH", "mm", "ss"), "[0-9]{2}"),
     **dict.fromkeys(("M", "d", "H", "m", "s"), "[+-]?[0-9]+"),
     **{"S" * n: f"[0-9]{{1,{n}}}" for n in range(1, 10)},
@@ -34,7 +36,8 @@ _DIGITS = {
 def text_shape(fmt: str) -> str | None:
     """Regular expression that every text readable with ``fmt`` matches.
 
-    None where the format uses letters whose texts are not plain digits.
+    None where the format uses letters whose texts are not plain digits. Such formats are
+    tried on every text.
     """
     if "''" in fmt or set(fmt) & set("[]{}#"):
         return None

@@ -23,8 +23,7 @@ _COPY = "__copy"
 def bucket(key: Column, n: int, salt: int = 0) -> Column:
     """Evenly spread number from 0 to ``n - 1``; different salts give unrelated numbers."""
     factor = (_STEP + salt * _SALT_STEP) % _PRIME
-    mixed = (F.pmod(key.cast("bigint"), F.lit(_PRIME)) + 1) * F.lit(factor)
-    return F.pmod(F.pmod(mixed, F.lit(_PRIME)), F.lit(n).cast("bigint"))
+    return (F.pmod(key.cast("bigint"), F.lit(_PRIME)) + 1) * factor % _PRIME % n
 
 
 def _pick(choice: Column, options: Sequence[Column]) -> Column:

@@ -14,6 +14,9 @@ REQUIRED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The JVM never compiles a method above 8000 bytes of bytecode. A wide projection that
+    # fuses into a larger one would run interpreted, so let Spark split it instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
