@@ -50,11 +50,9 @@ def blank_out(value: Column, key: Column, percent: int, salt: int = 0) -> Column
 def pad_spaces(text: Column, key: Column, salt: int = 0) -> Column:
     """Two spaces on each side in 20 of 100 rows, one leading space in another 8."""
     share = bucket(key, 100, salt)
-    return (
-        F.when(share < 20, F.concat(F.lit("  "), text, F.lit("  ")))
-        .when(share < 28, F.concat(F.lit(" "), text))
-        .otherwise(text)
-    )
+    before = F.when(share < 20, "  ").when(share < 28, " ").otherwise("")
+    after = F.when(share < 20, "  ").otherwise("")
+    return F.concat(before, text, after)
 
 
 def vary_case(text: Column, key: Column, salt: int = 0) -> Column:

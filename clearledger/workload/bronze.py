@@ -6,6 +6,8 @@ Every defect depends only on the row's own keys (see operators.defects).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,9 +86,24 @@ def money_text(amount: Column, key: Column, salt: int) -> Column:
     return F.when(bucket(key, 10, salt + 1) == 0, F.concat(F.lit("-"), digits)).otherwise(digits)
 
 
+def staged(source: DataFrame, key: str | Column, **values: Callable[[Column], Column]) -> DataFrame:
+    """Add the row key ``_k`` and clean values named ``_name``.
+
+    Each is computed once, here; a defect mentions its input several times.
+    """
+    keyed = source.withColumn("_k", (F.col(key) if isinstance(key, str) else key).cast("bigint"))
+    return keyed.withColumns({f"_{name}": make(F.col("_k")) for name, make in values.items()})
+
+
 def bronze_bank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("r_regionkey").cast("bigint")
-    rows = table(spark, sf_dir, "region").select(
+    k = F.col("_k")
+    base = staged(
+        table(spark, sf_dir, "region"),
+        "r_regionkey",
+        created=lambda k: moment("2010-01-01", k, 3650, 20),
+        modified=lambda k: moment("2020-01-01", k, 1000, 24),
+    )
+    rows = base.select(
         k.cast("string").alias("src_bank_id"),
         pad_spaces(vary_case(F.concat(F.lit("Bank of "), "r_name"), k, 1), k, 2).alias("bank_name"),
         blank_out(F.concat(F.lit("BE-"), bucket(k, 900, 3) + 100), k, 10, 4).alias("bank_code"),
@@ -98,10 +115,10 @@ def bronze_bank(spark: SparkSession, sf_dir: str) -> DataFrame:
         vary_spelling(k, BANK_COUNTRY, 15).alias("country_code"),
         blank_out(F.concat(F.lit("+32-2-"), bucket(k, 900, 16) + 100), k, 15, 17).alias("phone"),
         blank_out(vary_spelling(k, BANK_STATUS, 18), k, 5, 19).alias("status"),
-        messy_time(moment("2010-01-01", k, 3650, 20), k, 23).alias("created_date"),
-        moment("2020-01-01", k, 1000, 24).alias("modified_date"),
+        messy_time(F.col("_created"), k, 23).alias("created_date"),
+        F.col("_modified").alias("modified_date"),
         F.concat(F.lit("BANK-"), k + 1).alias("integration_key"),
-        k.alias("_k"),
+        "_k",
     )
     return _with_copies(rows, F.when(F.col("_k") == 0, 1).otherwise(0), "modified_date")
 
@@ -120,9 +137,15 @@ def _with_copies(rows: DataFrame, copies: Column, modified: str) -> DataFrame:
 
 
 def bronze_branch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("n_nationkey").cast("bigint")
-    city = vary_spelling(k, CITIES, 31)
-    return table(spark, sf_dir, "nation").select(
+    k, city = F.col("_k"), F.col("_city")
+    base = staged(
+        table(spark, sf_dir, "nation"),
+        "n_nationkey",
+        city=lambda k: vary_spelling(k, CITIES, 31),
+        created=lambda k: moment("2012-01-01", k, 2900, 48),
+        modified=lambda k: moment("2020-01-01", k, 1800, 52),
+    )
+    return base.select(
         k.cast("string").alias("branch_id"),
         F.col("n_regionkey").cast("string").alias("fk_bank_id"),
         pad_spaces(F.concat(vary_case(city, k, 32), F.lit(" Branch "), "n_name"), k, 33).alias("branch_name"),
@@ -135,45 +158,59 @@ def bronze_branch(spark: SparkSession, sf_dir: str) -> DataFrame:
         vary_spelling(k, BRANCH_COUNTRY, 43).alias("country"),
         blank_out(F.concat(F.lit("+32 2 "), bucket(k, 900, 44) + 100), k, 20, 45).alias("phone_number"),
         blank_out(vary_spelling(k, BRANCH_ACTIVE, 46), k, 5, 47).alias("is_active"),
-        messy_time(moment("2012-01-01", k, 2900, 48), k, 51).alias("created_at"),
-        messy_time(moment("2020-01-01", k, 1800, 52), k, 55).alias("updated_at"),
+        messy_time(F.col("_created"), k, 51).alias("created_at"),
+        messy_time(F.col("_modified"), k, 55).alias("updated_at"),
         F.concat(F.lit("BRANCH-"), k + 1).alias("integration_key"),
     )
 
 
 def bronze_contact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("c_custkey")
-    first, last = F.initcap("c_mktsegment"), F.concat(F.lit("Van "), "c_name")
-    mail = F.concat(F.lower("c_mktsegment"), F.lit("."), k.cast("string"), F.lit("@Example.com"))
-    rows = table(spark, sf_dir, "customer").select(
+    k, first, last, mail = F.col("_k"), F.col("_first"), F.col("_last"), F.col("_mail")
+    base = staged(
+        table(spark, sf_dir, "customer"),
+        "c_custkey",
+        first=lambda k: F.initcap("c_mktsegment"),
+        last=lambda k: F.concat(F.lit("Van "), "c_name"),
+        mail=lambda k: F.concat(F.lower("c_mktsegment"), F.lit("."), k, F.lit("@Example.com")),
+        born=lambda k: moment("1950-01-01", k, 20000, 74),
+        joined=lambda k: moment("2010-01-01", k, 4700, 78),
+        created=lambda k: moment("2010-01-01", k, 3650, 89),
+        modified=lambda k: moment("2020-01-01", k, 1000, 93),
+    )
+    rows = base.select(
         k.cast("string").alias("customer_id"),
         blank_out(pad_spaces(vary_case(first, k, 61), k, 62), k, 3, 63).alias("first_name"),
         blank_out(pad_spaces(vary_case(last, k, 64), k, 65), k, 3, 66).alias("last_name"),
         blank_out(pad_spaces(F.concat(first, F.lit(" "), last), k, 67), k, 30, 68).alias("full_name"),
         blank_out(pad_spaces(vary_case(mail, k, 69), k, 70), k, 25, 71).alias("email"),
         blank_out(F.concat(F.lit("+32-4"), bucket(k, 900000, 72) + 100000), k, 25, 73).alias("phone"),
-        vary_format(moment("1950-01-01", k, 20000, 74), k, BIRTH_DATE_TEXTS, 77).alias("date_of_birth"),
-        messy_time(moment("2010-01-01", k, 4700, 78), k, 81).alias("join_date"),
+        vary_format(F.col("_born"), k, BIRTH_DATE_TEXTS, 77).alias("date_of_birth"),
+        messy_time(F.col("_joined"), k, 81).alias("join_date"),
         blank_out(tenths(k, 300, 82), k, 15, 84).alias("tenure"),
         blank_out(F.col("c_nationkey").cast("string"), k, 10, 85).alias("primary_branch_id"),
         vary_spelling(k, BOOLEAN_TEXTS, 86).alias("managed_by_system"),
         blank_out(vary_spelling(k, CONTACT_ACTIVE, 87), k, 5, 88).alias("is_active"),
-        messy_time(moment("2010-01-01", k, 3650, 89), k, 92).alias("created_timestamp"),
-        moment("2020-01-01", k, 1000, 93).alias("last_modified"),
+        messy_time(F.col("_created"), k, 92).alias("created_timestamp"),
+        F.col("_modified").alias("last_modified"),
         F.concat(F.lit("CUST-"), k + 1).alias("src_integration_key"),
-        k.alias("_k"),
+        "_k",
     )
     return _with_copies(rows, F.when(F.pmod("_k", F.lit(20)) == 0, 1).otherwise(0), "last_modified")
 
 
 def bronze_account(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The branch of an account is its customer's, found by a join."""
-    k = F.col("o_orderkey")
+    k, kind = F.col("_k"), F.col("_kind")
     homes = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     orders = table(spark, sf_dir, "orders")
-    kind = vary_spelling(k, ACCOUNT_TYPE_TEXTS, 101)
-    ordered = F.col("o_orderdate")
-    return orders.join(homes, orders.o_custkey == homes.c_custkey, "left").select(
+    base = staged(
+        orders.join(homes, orders.o_custkey == homes.c_custkey, "left"),
+        "o_orderkey",
+        kind=lambda k: vary_spelling(k, ACCOUNT_TYPE_TEXTS, 101),
+        joined=lambda k: F.col("o_orderdate") + F.make_dt_interval(hours=bucket(k, 24, 108).cast("int")),
+        modified=lambda k: moment("2020-01-01", k, 1800, 116),
+    )
+    return base.select(
         k.cast("string").alias("acct_id"),
         F.concat(F.lit("BE"), bucket(k, 90, 102) + 10, F.lit("-"), k.cast("string")).alias("account_number"),
         pad_spaces(
@@ -182,11 +219,11 @@ def bronze_account(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(bucket(k, 50, 105) == 0, F.lit(" money market ")).otherwise(kind).alias("account_type"),
         blank_out(F.col("c_nationkey").cast("string"), k, 8, 106).alias("branch_ref"),
         blank_out(F.col("o_custkey").cast("string"), k, 5, 107).alias("primary_contact_ref"),
-        messy_time(ordered + F.make_dt_interval(hours=bucket(k, 24, 108).cast("int")), k, 109).alias("join_date"),
+        messy_time(F.col("_joined"), k, 109).alias("join_date"),
         blank_out(tenths(k, 250, 110), k, 20, 112).alias("tenure_years"),
         blank_out(vary_spelling(k, ACCOUNT_STATUS, 113), k, 5, 114).alias("status_flag"),
-        messy_time(ordered, k, 115).alias("created"),
-        messy_time(moment("2020-01-01", k, 1800, 116), k, 119).alias("modified"),
+        messy_time(F.col("o_orderdate"), k, 115).alias("created"),
+        messy_time(F.col("_modified"), k, 119).alias("modified"),
         F.concat(F.lit("ACCT-"), k + 1).alias("int_key"),
     )
 
@@ -195,13 +232,18 @@ def bronze_holding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table repeats its (order, line) key by itself; the contact comes from the order."""
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     owners = orders.select("o_orderkey", "o_custkey")
-    k = F.col("l_orderkey") * 8 + F.col("l_linenumber") + F.col("l_partkey") * 104729 + F.col("l_suppkey") * 31
-    kind = vary_spelling(k, HOLDING_TYPE_TEXTS, 121)
-    key = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
-    amount = F.col("l_extendedprice").cast("decimal(18,2)").cast("string")
-    shipped = F.col("l_shipdate")
-    matures = shipped + F.make_dt_interval((bucket(k, 10585, 122) + 365).cast("int"))
-    return lines.join(owners, lines.l_orderkey == owners.o_orderkey, "left").select(
+    k, kind, key, amount = F.col("_k"), F.col("_kind"), F.col("_ref"), F.col("_amount")
+    base = staged(
+        lines.join(owners, lines.l_orderkey == owners.o_orderkey, "left"),
+        F.col("l_orderkey") * 8 + F.col("l_linenumber") + F.col("l_partkey") * 104729 + F.col("l_suppkey") * 31,
+        kind=lambda k: vary_spelling(k, HOLDING_TYPE_TEXTS, 121),
+        ref=lambda k: F.concat("l_orderkey", F.lit("-"), "l_linenumber"),
+        amount=lambda k: F.col("l_extendedprice").cast("decimal(18,2)").cast("string"),
+        opened=lambda k: F.col("l_shipdate") + F.make_dt_interval(hours=bucket(k, 24, 136).cast("int")),
+        matures=lambda k: F.col("l_shipdate") + F.make_dt_interval((bucket(k, 10585, 122) + 365).cast("int")),
+        modified=lambda k: moment("2020-01-01", k, 1800, 143),
+    )
+    return base.select(
         key.alias("holding_id"),
         blank_out(F.col("o_custkey").cast("string"), k, 3, 123).alias("customer_ref"),
         blank_out(F.col("l_orderkey").cast("string"), k, 5, 124).alias("account_ref"),
@@ -217,11 +259,11 @@ def bronze_holding(spark: SparkSession, sf_dir: str) -> DataFrame:
         blank_out(
             F.concat(bucket(k, 9, 133).cast("string"), F.lit("."), bucket(k, 90000, 134) + 10000), k, 15, 135
         ).alias("interest_rate"),
-        messy_time(shipped + F.make_dt_interval(hours=bucket(k, 24, 136).cast("int")), k, 137).alias("opened_on"),
-        blank_out(vary_format(matures, k, MATURITY_TEXTS, 138), k, 40, 139).alias("maturity_date"),
+        messy_time(F.col("_opened"), k, 137).alias("opened_on"),
+        blank_out(vary_format(F.col("_matures"), k, MATURITY_TEXTS, 138), k, 40, 139).alias("maturity_date"),
         blank_out(vary_spelling(k, HOLDING_STATUS, 140), k, 5, 141).alias("status"),
-        messy_time(shipped, k, 142).alias("created_timestamp"),
-        messy_time(moment("2020-01-01", k, 1800, 143), k, 146).alias("updated_timestamp"),
+        messy_time(F.col("l_shipdate"), k, 142).alias("created_timestamp"),
+        messy_time(F.col("_modified"), k, 146).alias("updated_timestamp"),
         key.alias("int_key"),
     )
 
