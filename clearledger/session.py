@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 32_000
+MAX_SCAN_TASKS = 100_000
 
 # What every job needs, whatever the cluster.
 REQUIRED = {
@@ -27,14 +29,17 @@ DEFAULTS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 def shuffle_settings(input_bytes: int, cores: int) -> dict[str, str]:
     """Shuffle and scan sizing for a job that reads ``input_bytes``.
 
-    Adaptive execution can merge shuffle partitions that turn out small but cannot add any,
-    so the starting number is sized for the whole input and never below two waves of tasks.
+    Adaptive execution can merge shuffle partitions that turn out small but cannot add any, so
+    the starting number is sized for the whole input, and at least two waves of tasks. A
+    shuffle has one block per map and reduce task, so both are bounded: a larger input gets
+    larger partitions, which the sorts spill, instead of ever more of them.
     """
-    partitions = max(2 * cores, -(-input_bytes // TARGET_PARTITION_BYTES))
+    partitions = min(max(2 * cores, -(-input_bytes // TARGET_PARTITION_BYTES)), MAX_SHUFFLE_PARTITIONS)
+    split = max(TARGET_PARTITION_BYTES, -(-input_bytes // MAX_SCAN_TASKS))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
-        "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES),
+        "spark.sql.files.maxPartitionBytes": str(split),
     }
 
 

@@ -32,7 +32,7 @@ def values_of(rows: pa.Table) -> list[str]:
 
 
 def differences(spark_df, con, sql: str) -> list[str]:
-    got, want = spark_df.toArrow(), con.execute(sql).to_arrow_table()
+    got, want = spark_df.toArrow(), con.sql(sql).to_arrow_table()
     found = []
     if types_of(got) != types_of(want):
         found.append(f"types: {set(types_of(got).items()) ^ set(types_of(want).items())}")
