@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -14,6 +14,7 @@ from clearledger.functions.codes import is_listed
 from clearledger.operators.reshape import check_distinct_names, field
 from clearledger.plans.entities import DEFAULTED
 from clearledger.schemas import required_fields, target_schema
+from clearledger.sources.layers import LAYERS, Layout
 
 def _stack(parts: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
@@ -164,3 +165,17 @@ def defaulted_codes(raw: Mapping[str, DataFrame]) -> DataFrame:
         )
         for entity, df in raw.items()
     )
+
+
+def stored_reports(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
+    """Every report over the stored bronze and silver tables, by name, lazily."""
+    raw, clean = ({e: layout.read(spark, layer, e) for e in layout.tables} for layer in LAYERS)
+    paths = {(layer, e): layout.path(layer, e) for layer in LAYERS for e in layout.tables}
+    return {
+        "layer_summary": layer_summary(dict(zip(LAYERS, (raw, clean))), paths),
+        "layer_compare": layer_compare(raw, clean),
+        "required_violations": required_violations(clean),
+        "completeness": completeness(clean),
+        "schema_compliance": _stack(schema_compliance(df, entity) for entity, df in clean.items()),
+        "defaulted_codes": defaulted_codes(raw),
+    }

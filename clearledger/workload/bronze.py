@@ -1,7 +1,8 @@
 """Bronze tables of the five entities, derived from the driver's tables.
 
 region -> bank, nation -> branch, customer -> contact, orders -> account, lineitem -> holding.
-Every defect depends only on the row's own keys (see operators.defects).
+Every defect depends only on the row's own keys (see operators.defects). The number at the end
+of each defect is its salt; each use has its own, so that defects of one row are unrelated.
 """
 
 from __future__ import annotations

@@ -13,11 +13,10 @@ from pyspark.sql.types import TimestampType
 
 from clearledger import session
 from clearledger.functions import codes, parsing, text
-from clearledger.operators import defects
+from clearledger.operators import defects, reshape
 from clearledger.operators.dedup import latest_per_key
-from clearledger.operators.reshape import conform, rename, trim_all_strings, with_status_labels
 from clearledger.plans import quality
-from clearledger.plans.entities import clean_all, clean_entity
+from clearledger.plans.entities import clean_all, clean_entity, run_all
 from clearledger.schemas import target_schema
 from clearledger.sources.layers import Layout, scratch_folder
 from clearledger.workload import bronze
@@ -73,7 +72,7 @@ HOLDING_NAMES = {
 
 @query
 def project_rename(spark, sf_dir):
-    return rename(table(spark, sf_dir, "lineitem"), HOLDING_NAMES)
+    return reshape.rename(table(spark, sf_dir, "lineitem"), HOLDING_NAMES)
 
 
 def untidy_account(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,11 +93,11 @@ def untidy_account(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def conform_schema(spark, sf_dir):
-    return conform(untidy_account(spark, sf_dir), target_schema("account"))
+    return reshape.conform(untidy_account(spark, sf_dir), target_schema("account"))
 
 
 @query
-def trim_all_strings_query(spark, sf_dir):
+def trim_all_strings(spark, sf_dir):
     k = F.col("p_partkey")
     padded = table(spark, sf_dir, "part").withColumns(
         {
@@ -106,10 +105,7 @@ def trim_all_strings_query(spark, sf_dir):
             for salt, name in ((205, "p_name"), (207, "p_brand"), (209, "p_type"))
         }
     )
-    return trim_all_strings(padded)
-
-
-REGISTRY["trim_all_strings"] = REGISTRY.pop("trim_all_strings_query")
+    return reshape.trim_all_strings(padded)
 
 
 # Scalar functions
@@ -220,7 +216,7 @@ def status_block(spark, sf_dir):
         "l_linenumber",
         codes.resolve_state(defects.pad_spaces(defects.vary_spelling(k, texts, 227), k, 228)).alias("statecode"),
     )
-    return with_status_labels(lines)
+    return reshape.with_status_labels(lines)
 
 
 @query
@@ -277,7 +273,7 @@ def dedup_latest_keep_null_keys(spark, sf_dir):
 def required_violations(spark, sf_dir):
     """The clean tables, and the untidy account table conformed without any cleaning."""
     tables = clean_all(bronze_tables(spark, sf_dir))
-    untidy = conform(untidy_account(spark, sf_dir), target_schema("account"))
+    untidy = reshape.conform(untidy_account(spark, sf_dir), target_schema("account"))
     return quality.required_violations({**tables, "account": untidy})
 
 
@@ -347,6 +343,16 @@ def all_silver_counts(spark, sf_dir):
     return quality.layer_summary({"silver": tables}).select("entity", F.col("n_rows").alias("n"))
 
 
+@query
+def run_all_stored(spark, sf_dir):
+    """Store the bronze tables, run every entity job on them, compare the stored layers."""
+    layout = Layout(scratch_folder(spark, "run_all_stored"))
+    for entity, df in bronze_tables(spark, sf_dir).items():
+        layout.write(df, "bronze", entity)
+    run_all(spark, layout)
+    return quality.stored_reports(spark, layout)["layer_compare"]
+
+
 # Defect injection
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clearledger.operators.defects import add_newer_copies
 from clearledger.plans.entities import DEFAULTED, ENTITIES, clean_entity, run_all
+from clearledger.plans.quality import stored_reports
 from clearledger.schemas import required_fields, target_schema
 from clearledger.sources.layers import ENTITY_TABLES, Layout, scratch_folder
 from clearledger.workload.bronze import bronze_tables
@@ -72,6 +73,19 @@ def test_plan_reads_only_mapped_columns(spark, raw_layout):
     assert "unused" not in plan
 
 
+def test_bucketed_table_needs_no_shuffle(spark, raw_layout, tmp_path):
+    raw = raw_layout.read(spark, "bronze", "contact")
+    writer = raw.write.bucketBy(4, "src_integration_key").option("path", str(tmp_path / "bucketed"))
+    writer.mode("overwrite").saveAsTable("bucketed_contact")
+    try:
+        clean = clean_entity(spark.table("bucketed_contact"), "contact")
+        assert "Exchange" not in clean._jdf.queryExecution().executedPlan().toString()
+        assert clean.exceptAll(clean_entity(raw, "contact")).count() == 0
+        assert clean.count() == raw.select("src_integration_key").distinct().count()
+    finally:
+        spark.sql("DROP TABLE bucketed_contact")
+
+
 def test_run_all_stores_clean_tables(spark, raw_layout):
     written = run_all(spark, raw_layout)
     assert list(written) == list(WIDTHS)
@@ -83,6 +97,15 @@ def test_run_all_stores_clean_tables(spark, raw_layout):
         counted = result.table.agg(*[F.count(c).alias(c) for c in clean.columns]).first().asDict()
         assert result.n_filled == counted
         assert result.table.exceptAll(clean).count() == 0
+    reports = stored_reports(spark, raw_layout)
+    assert reports["required_violations"].count() == 0
+    assert reports["completeness"].count() == sum(WIDTHS.values())
+    compliance = reports["schema_compliance"]
+    assert compliance.count() == compliance.filter("is_expected AND is_present AND type_ok").count() == 90
+    summary = {(r.layer, r.entity): r for r in reports["layer_summary"].collect()}
+    assert len(summary) == 10
+    assert summary["silver", "bank"].path == raw_layout.path("silver", "bank")
+    assert {r.note for r in reports["layer_compare"].collect()} == {"deduplicated", "no duplicates"}
 
 
 def test_known_counts(spark):
