@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearledger.llm import bpe, packing
+from clearledger.llm import bpe, langid, packing, quality, secrets, sharding, toxicity
+from clearledger.llm.common import id_remainder
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 BYTE_TOKENIZER = "byte_bpe_50k.json"
@@ -45,7 +46,94 @@ def op3_backtracking_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_remainder(F.col("doc_id"), 4) == 2
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "sentences"
+    )
+
+
+def op7_line_frequency_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(spark, table(spark, sf_dir, "documents"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "words_left"
+    )
+
+
+def op8_family_then_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_remainder(F.col("doc_id"), 3) == 1
+    model = langid.train(docs, ~held_out)
+    return langid.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op9_kd_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard(spark, table(spark, sf_dir, "documents"), n_shards=8)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def span_text(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def op10_blob_ledger_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(spark, table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter("spans", lambda s: s["kind"].isin(*[r.kind for r in secrets.BASE_RULES]))
+    return found.select(
+        "doc_id",
+        *[count(r.kind) for r in secrets.BASE_RULES],
+        F.sha2(span_text(base).cast("binary"), 256).alias("base_sha256"),
+        span_text(F.col("spans")).alias("spans"),
+    )
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sum_of_squares_packing, op3_backtracking_bpe)
+    f.__name__: f
+    for f in (
+        op1_sum_of_squares_packing,
+        op3_backtracking_bpe,
+        op5_noisy_or_toxicity,
+        op7_line_frequency_rules,
+        op8_family_then_language,
+        op9_kd_tree_shards,
+        op10_blob_ledger_secrets,
+    )
 }
-ORACLE: dict[str, str] = {}
+OP7_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS host, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, list_filter(regexp_split_to_array(t, '[ \\t-\\r]+'), lambda x: x <> '') AS ws FROM d),
+g AS (
+    SELECT r, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS gram
+    FROM (SELECT r, ws, unnest(range(1, len(ws) - 1)) AS i FROM w WHERE len(ws) >= 3)
+),
+twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, gram) AS n FROM g) WHERE n > 1),
+inside AS (SELECT r, count(DISTINCT i + k) AS n_repeat FROM twice, (SELECT unnest([0, 1, 2]) AS k) GROUP BY r),
+raw AS (SELECT r, host, unnest(string_split(t, chr(10))) AS line FROM d),
+lines AS (
+    SELECT r, host, line, len(list_filter(regexp_split_to_array(line, '[ \\t-\\r]+'), lambda x: x <> '')) AS n,
+        trim(regexp_replace(regexp_replace(lower(line), '[0-9]', '0', 'g'), '[ \\t-\\r]+', ' ', 'g')) AS norm
+    FROM raw WHERE regexp_matches(line, '[^ \\t-\\r]')
+),
+dup AS (SELECT r, count(*) - count(DISTINCT line) AS n_dup FROM lines GROUP BY r),
+frequent AS (SELECT host, norm FROM lines GROUP BY ALL HAVING count(DISTINCT r) > 10),
+lost AS (SELECT r, sum(n) AS n_lost FROM lines SEMI JOIN frequent USING (host, norm) GROUP BY r),
+m AS (
+    SELECT doc_id, len(ws) AS n_words, length(regexp_replace(t, '[ \\t-\\r]+', '', 'g')) AS word_chars,
+        length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+        coalesce(n_dup, 0) AS n_dup_lines, coalesce(n_repeat, 0) AS n_repeat_words, len(ws) - coalesce(n_lost, 0) AS words_left
+    FROM d JOIN w USING (r) LEFT JOIN inside USING (r) LEFT JOIN dup USING (r) LEFT JOIN lost USING (r)
+)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+    n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
+    n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 2 * words_left >= n_words AS kept,
+    words_left::BIGINT AS words_left
+FROM m
+"""
+
+ORACLE: dict[str, str] = {"op7_line_frequency_rules": OP7_SQL}
