@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearledger.llm import bpe, langid, packing, quality, secrets, sharding, toxicity
+from clearledger.llm import bpe, langid, minhash, packing, quality, secrets, sharding, toxicity
 from clearledger.llm.common import id_remainder
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -46,6 +46,10 @@ def op3_backtracking_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_bottom_k_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(spark, table(spark, sf_dir, "documents"))
+
+
 def op5_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = id_remainder(F.col("doc_id"), 4) == 2
@@ -97,6 +101,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_sum_of_squares_packing,
         op3_backtracking_bpe,
+        op4_bottom_k_near_duplicates,
         op5_noisy_or_toxicity,
         op7_line_frequency_rules,
         op8_family_then_language,
@@ -136,4 +141,32 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM m
 """
 
-ORACLE: dict[str, str] = {"op7_line_frequency_rules": OP7_SQL}
+OP4_SQL = """
+WITH RECURSIVE w AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \\t-\\r]+'), lambda x: x <> '') AS ws
+    FROM documents
+),
+g AS (
+    SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS s
+    FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w WHERE len(ws) > 0)
+),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+l AS (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM g a JOIN g b ON a.s = b.s AND a.doc_id <> b.doc_id
+        JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+    GROUP BY a.doc_id, b.doc_id, na.n, nb.n
+    HAVING 100 * count(*) >= 75 * (na.n + nb.n - count(*))
+),
+r AS (
+    SELECT doc_id, doc_id AS c FROM documents
+    UNION
+    SELECT l.b, r.c FROM r JOIN l ON l.a = r.doc_id WHERE r.c < l.b
+),
+m AS (SELECT doc_id, min(c) AS c FROM r GROUP BY doc_id)
+SELECT m.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.c AS component_id, m.doc_id = m.c AS kept
+FROM m LEFT JOIN n USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {"op4_bottom_k_near_duplicates": OP4_SQL, "op7_line_frequency_rules": OP7_SQL}
