@@ -28,11 +28,12 @@ _BITS = 1 << 26
 @dataclass(frozen=True)
 class Sets:
     """``texts`` turns rows of ``source`` into (id, text); ``elements`` makes the sorted distinct
-    64-bit hashes of a text's set."""
+    64-bit hashes of a text's set. ``once``: an id has one text wherever it occurs."""
 
     source: DataFrame
     texts: Callable[[pa.RecordBatch], Iterator[tuple[int, str]]]
     elements: Callable[[str], np.ndarray]
+    once: bool = False
 
 
 def shared_keys(tables: Tables, keys: DataFrame) -> DataFrame:
@@ -72,19 +73,22 @@ def needed_texts(tables: Tables, sets: Sets, ids: DataFrame) -> DataFrame:
     bitmap = np.zeros(_BITS >> 6, dtype=np.uint64)
     bitmap[table.column("word").to_numpy().astype(np.int64)] = table.column("bits").to_numpy().view(np.uint64)
     shared = tables.spark.sparkContext.broadcast(bitmap)
-    make = sets.texts
+    make, once = sets.texts, sets.once
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        bits = shared.value
+        bits, seen = shared.value, set()
         for part in text_slices(batches):
             ids, texts = [], []
             for i, text in make(part):
+                if once and i in seen:
+                    continue
                 at = xxhash.xxh64_intdigest(int(i).to_bytes(8, "little", signed=True), 42) % _BITS
                 if int(bits[at >> 6]) >> (at & 63) & 1:
                     ids.append(i)
                     texts.append(text)
+                    seen.add(i)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string())], ["id", "text"])
 
     found = sets.source.mapInArrow(run, "id long, text string").join(ids, "id")

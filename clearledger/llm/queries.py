@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearledger.llm import bpe, langid, minhash, packing, quality, secrets, sharding, toxicity
+from clearledger.llm import bpe, embeddings, langid, lines, minhash, packing, quality, secrets, sharding, toxicity
 from clearledger.llm.common import id_remainder
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -36,6 +36,10 @@ def op1_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_digest(packing.pack(docs, tokenizer_path(WORD_TOKENIZER), END_ID))
 
 
+def op2_sign_hash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(spark, table(spark, sf_dir, "embeddings"))
+
+
 def op3_backtracking_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_TOKENIZER))
     return both.select(
@@ -59,6 +63,10 @@ def op5_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.fuzzy_lines(spark, table(spark, sf_dir, "documents"))
+
+
 def op7_line_frequency_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(spark, table(spark, sf_dir, "documents"))
     return judged.select(
@@ -100,9 +108,11 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_sum_of_squares_packing,
+        op2_sign_hash_near_duplicates,
         op3_backtracking_bpe,
         op4_bottom_k_near_duplicates,
         op5_noisy_or_toxicity,
+        op6_fuzzy_lines,
         op7_line_frequency_rules,
         op8_family_then_language,
         op9_kd_tree_shards,
@@ -141,6 +151,29 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM m
 """
 
+OP2_SQL = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+l AS (
+    SELECT a.vec_id AS a, b.vec_id AS b
+    FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+),
+r AS (
+    SELECT vec_id, vec_id AS c FROM embeddings
+    UNION
+    SELECT l.b, r.c FROM r JOIN l ON l.a = r.vec_id WHERE r.c < l.b
+),
+m AS (SELECT vec_id, min(c) AS c FROM r GROUP BY vec_id),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT m.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, m.c AS component_id, m.vec_id = m.c AS kept
+FROM m LEFT JOIN n ON n.a = m.vec_id
+"""
+
 OP4_SQL = """
 WITH RECURSIVE w AS (
     SELECT doc_id, list_filter(regexp_split_to_array(
@@ -169,4 +202,4 @@ SELECT m.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.c AS component_id, m.
 FROM m LEFT JOIN n USING (doc_id)
 """
 
-ORACLE: dict[str, str] = {"op4_bottom_k_near_duplicates": OP4_SQL, "op7_line_frequency_rules": OP7_SQL}
+ORACLE: dict[str, str] = {"op2_sign_hash_near_duplicates": OP2_SQL, "op4_bottom_k_near_duplicates": OP4_SQL, "op7_line_frequency_rules": OP7_SQL}
