@@ -159,3 +159,27 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
 
     schema = f"id {id_type.simpleString()}, lang_pred string, score double"
     return source.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+
+
+def label(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``lang_score`` after its own columns, otherwise as ``identify``.
+
+    The text goes to Python as a column of its own beside the row, so rows need no key.
+    """
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    plain = docs.toDF(*names).withColumn("text", F.col(names[docs.columns.index(text_col)]).cast("string"))
+    types = plain.schema.fields
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(batches):
+            found = [
+                model.predict(features(t)) if model and t and _LETTER.search(t) else (UNKNOWN, 0.0)
+                for t in part.column("text").to_pylist()
+            ]
+            langs, scores = zip(*found)
+            columns = [*part.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, [*names, "lang_pred", "lang_score"])
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in types[:-1])
+    out = plain.mapInArrow(run, f"{schema}, lang_pred string, lang_score double")
+    return out.toDF(*docs.columns, "lang_pred", "lang_score")

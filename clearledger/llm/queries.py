@@ -151,6 +151,14 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM m
 """
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # which imports this module
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+REGISTRY["pipeline"] = pipeline
+
 OP2_SQL = """
 WITH RECURSIVE v AS (
     SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings

@@ -156,14 +156,17 @@ def _ledger(spark: SparkSession, path: str) -> DataFrame | None:
 def redact(spark: SparkSession, docs: DataFrame, mark: str = "[SECRET]", **options) -> DataFrame:
     """``docs`` with each found span of ``text`` replaced by ``mark``; overlapping spans count as one.
 
-    All rows and columns stay. Texts without findings, null and empty ones included, are unchanged.
+    All rows and columns stay; ``n_chars`` follows a changed text. Texts without findings, null and empty ones included, are unchanged.
     """
     tables = options.pop("tables", None) or Tables(spark, "secrets")
     found = scan(spark, docs.select("doc_id", "text"), tables=tables, **options)
     marked = found.filter(F.size("spans") > 0).select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans")).dropDuplicates(["__blob"])
     own = F.sha2(F.col("text").cast("binary"), 256)
     joined = docs.join(marked, own == F.col("__blob"), "left")
-    return joined.withColumn("text", _masked(F.col("text"), F.col("__spans"), mark)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    clean = joined.withColumn("text", _masked(F.col("text"), F.col("__spans"), mark))
+    if "n_chars" in docs.columns:
+        clean = clean.withColumn("n_chars", F.when(F.col("__spans").isNull(), F.col("n_chars")).otherwise(F.char_length("text")))
+    return clean.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def _masked(text: Column, spans: Column, mark: str) -> Column:
@@ -176,5 +179,5 @@ def _masked(text: Column, spans: Column, mark: str) -> Column:
         longer = F.struct(F.greatest(state["at"], span["end"]).alias("at"), state["out"].alias("out"))
         return F.when((span["start"] >= state["at"]), fresh).otherwise(longer)
 
-    rest = F.aggregate(spans, start, step, lambda s: F.concat(s["out"], F.expr("''"), F.substring(text, (s["at"] + 1).cast("int"), F.length(text))))
+    rest = F.aggregate(spans, start, step, lambda s: F.concat(s["out"], F.substring(text, (s["at"] + 1).cast("int"), F.length(text))))
     return F.when(spans.isNull(), text).otherwise(rest)
