@@ -79,17 +79,19 @@ class Packer:
         else:
             self.open.setdefault(level + size, []).append(window)
             if self.n_open > self.max_open:
-                yield from self.pour()
+                yield from self.pour(keep=True)
 
-    def pour(self) -> Iterator[list[tuple]]:
-        """Close all open windows, filling the fullest from the emptiest; one stays partial."""
-        windows = [(h, w) for h in sorted(self.open, reverse=True) for w in self.open[h]]
+    def pour(self, keep: bool = False) -> Iterator[list[tuple]]:
+        """Close all open windows, filling the fullest from the emptiest; the last one may stay
+        partial, and with ``keep`` stays open then."""
+        windows = [w for h in sorted(self.open, reverse=True) for w in self.open[h]]
         self._reset()
         first, last = 0, len(windows) - 1
         while first <= last:
-            fill, window = windows[first]
+            window = windows[first]
+            fill = sum(len(piece[3]) for piece in window) // 4
             while fill < self.capacity and first < last:
-                donor = windows[last][1]
+                donor = windows[last]
                 doc_id, start, total, ids = donor.pop()
                 take = min(self.capacity - fill, len(ids) // 4)
                 window.append((doc_id, start, total, ids[: 4 * take]))
@@ -98,7 +100,11 @@ class Packer:
                     donor.append((doc_id, start + take, total, ids[4 * take :]))
                 if not donor:
                     last -= 1
-            yield window
+            if keep and fill < self.capacity:
+                self.levels.counts[fill] = self.n_open = 1
+                self.open[fill] = [window]
+            else:
+                yield window
             first += 1
 
 
