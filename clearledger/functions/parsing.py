@@ -23,10 +23,24 @@ TIMESTAMP_FORMATS = (
 DATE_FORMATS = ("yyyy-MM-dd", "dd/MM/yyyy", "MM/dd/yyyy", "yyyy/MM/dd")
 
 _TOKEN = re.compile(r"'[^']*'|([A-Za-z])\1*|.")
+# The last years that are readable from their first to their last day. Spark's parse, try_
+# variants included, fails the job on a date outside the range of the type, which begins and ends
+# within the next years, so those must not reach it.
+LAST_YEAR, FIRST_YEAR = 294246, -290307
+
+
+def _at_most(n: int) -> str:
+    """Regular expression of the numbers with as many digits as ``n``, up to ``n``."""
+    digits, choices = str(n), [str(n)]
+    for i, d in enumerate(digits):
+        least = 0 if i else 1
+        if int(d) > least:
+            choices.append(f"{digits[:i]}[{least}-{int(d) - 1}][0-9]{{{len(digits) - i - 1}}}")
+    return f"(?:{'|'.join(choices)})"
+
+
 _DIGITS = {
-    # Years to 289999. Spark's parse, try_ variants included, fails the job on a year outside
-    # the range of the type (from 290309), so such texts must not reach it.
-    "yyyy": "[+-]?(?:[0-9]{4,5}|1[0-9]{5}|2[0-8][0-9]{4})",
+    "yyyy": f"(?:[+-]?[0-9]{{4,5}}|[+]{_at_most(LAST_YEAR)}|-{_at_most(-FIRST_YEAR)})",
     **dict.fromkeys(("MM", "dd", "HH", "mm", "ss"), "[0-9]{2}"),
     **dict.fromkeys(("M", "d", "H", "m", "s"), "[+-]?[0-9]+"),
     **{"S" * n: f"[0-9]{{1,{n}}}" for n in range(1, 10)},

@@ -47,18 +47,22 @@ def blank_out(value: Column, key: Column, percent: int, salt: int = 0) -> Column
     return F.when(bucket(key, 100, salt) >= percent, value)
 
 
-def pad_spaces(text: Column, key: Column, salt: int = 0) -> Column:
-    """Two spaces on each side in 20 of 100 rows, one leading space in another 8."""
+def pad_spaces(
+    text: Column, key: Column, salt: int = 0, both: int = 20, leading: int = 8
+) -> Column:
+    """Two spaces on each side in ``both`` of 100 rows, one leading space in another ``leading``."""
     share = bucket(key, 100, salt)
-    before = F.when(share < 20, "  ").when(share < 28, " ").otherwise("")
-    after = F.when(share < 20, "  ").otherwise("")
+    before = F.when(share < both, "  ").when(share < both + leading, " ").otherwise("")
+    after = F.when(share < both, "  ").otherwise("")
     return F.concat(before, text, after)
 
 
-def vary_case(text: Column, key: Column, salt: int = 0) -> Column:
-    """Upper case in 15 of 100 rows, lower case in another 10."""
+def vary_case(
+    text: Column, key: Column, salt: int = 0, upper: int = 15, lower: int = 10
+) -> Column:
+    """Upper case in ``upper`` of 100 rows, lower case in another ``lower``."""
     share = bucket(key, 100, salt)
-    return F.when(share < 15, F.upper(text)).when(share < 25, F.lower(text)).otherwise(text)
+    return F.when(share < upper, F.upper(text)).when(share < upper + lower, F.lower(text)).otherwise(text)
 
 
 def vary_spelling(key: Column, spellings: Sequence[str | None], salt: int = 0) -> Column:

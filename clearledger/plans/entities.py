@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import NamedTuple
 
@@ -186,9 +187,11 @@ def entity_spec(entity: str) -> Entity:
     return ENTITIES[entity]
 
 
-def clean_entity(raw: DataFrame, entity: str) -> DataFrame:
+def clean_entity(raw: DataFrame, entity: str, null_keys: str = "collapse") -> DataFrame:
     """Latest row per integration key, cleaned and conformed to the canonical schema.
 
+    ``null_keys`` says what becomes of rows without a key, as in ``latest_per_key``.
+
     The change time is parsed once, before de-duplication, which orders by it; everything else
     is parsed afterwards, on the surviving rows only. The de-duplication is the one shuffle.
     """
@@ -196,7 +199,7 @@ def clean_entity(raw: DataFrame, entity: str) -> DataFrame:
     staged = raw.select(
         *map(field, spec.raw_columns), parse_timestamp(field(spec.modified)).alias("modifiedOn")
     )
-    latest = latest_per_key(staged, spec.key, "modifiedOn")
+    latest = latest_per_key(staged, spec.key, "modifiedOn", null_keys=null_keys)
     mapped = latest.select(
         "modifiedOn", *[column.alias(name) for name, column in _columns(spec.fields).items()]
     )
@@ -217,13 +220,15 @@ class Written(NamedTuple):
     n_filled: dict[str, int]
 
 
-def run_entity(spark: SparkSession, layout: Layout, entity: str) -> Written:
+def run_entity(
+    spark: SparkSession, layout: Layout, entity: str, null_keys: str = "collapse"
+) -> Written:
     """Read the bronze table, clean it, replace the silver table.
 
     Row count and filled values per field are observed while the table is written, so neither
     needs another pass. ``table`` reads what was written instead of computing it again.
     """
-    clean = clean_entity(layout.read(spark, "bronze", entity), entity)
+    clean = clean_entity(layout.read(spark, "bronze", entity), entity, null_keys)
     seen = Observation(f"clean_{entity}")
     counts = [F.count(field(name)).alias(f"filled_{name}") for name in clean.columns]
     layout.write(clean.observe(seen, F.count(F.lit(1)).alias("n_rows"), *counts), "silver", entity)
@@ -235,6 +240,8 @@ def run_entity(spark: SparkSession, layout: Layout, entity: str) -> Written:
     )
 
 
-def run_all(spark: SparkSession, layout: Layout) -> dict[str, Written]:
-    """Run every entity job, in registry order."""
-    return {entity: run_entity(spark, layout, entity) for entity in ENTITIES}
+def run_all(spark: SparkSession, layout: Layout, null_keys: str = "collapse") -> dict[str, Written]:
+    """Run every entity job. They share nothing, so all are submitted at once."""
+    with ThreadPoolExecutor(len(ENTITIES)) as pool:
+        jobs = {entity: pool.submit(run_entity, spark, layout, entity, null_keys) for entity in ENTITIES}
+        return {entity: job.result() for entity, job in jobs.items()}

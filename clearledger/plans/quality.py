@@ -12,10 +12,11 @@ from pyspark.sql.types import StructType
 
 from clearledger.functions.codes import is_listed
 from clearledger.operators.reshape import check_distinct_names, field
-from clearledger.plans.entities import DEFAULTED
+from clearledger.plans.entities import DEFAULTED, entity_spec
 from clearledger.schemas import required_fields, target_schema
 from clearledger.sources.layers import LAYERS, Layout
 
+
 def _stack(parts: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
@@ -40,11 +41,17 @@ def field_nulls(df: DataFrame, entity: str, names: Iterable[str] | None = None)
     return _per_field(df, entity, [(name, {"n_nulls": c}) for name, c in missing.items()])
 
 
-def required_violations(clean: Mapping[str, DataFrame]) -> DataFrame:
-    """Required fields that hold NULLs: (entity, field, n_nulls)."""
+def required_violations(
+    clean: Mapping[str, DataFrame], schemas: Mapping[str, StructType] | None = None
+) -> DataFrame:
+    """Required fields that hold NULLs: (entity, field, n_nulls).
+
+    ``schemas`` has the target schema of tables that are not named after an entity.
+    """
+    schemas = schemas or {}
     parts = [
-        field_nulls(df, entity, required_fields(target_schema(entity)))
-        for entity, df in clean.items()
+        field_nulls(df, name, required_fields(schemas.get(name) or target_schema(name)))
+        for name, df in clean.items()
     ]
     return _stack(parts).filter(F.col("n_nulls") > 0).select("entity", "field", "n_nulls")
 
@@ -88,14 +95,55 @@ def layer_summary(
     return _stack(parts)
 
 
-def layer_compare(raw: Mapping[str, DataFrame], clean: Mapping[str, DataFrame]) -> DataFrame:
-    """Row counts before and after cleaning: (entity, n_raw, n_clean, difference, note)."""
-    counts = layer_summary({"raw": raw, "clean": clean})
+def key_counts(raw: Mapping[str, DataFrame]) -> DataFrame:
+    """What cleaning would leave of each raw table: (entity, n_raw, n_clean, n_null_keys).
+
+    Cleaning keeps one row per integration key, NULL counting as one key. So one aggregate on the
+    key alone tells the counts: nothing else is read, shuffled or parsed.
+    """
+
+    def of(entity: str, df: DataFrame) -> DataFrame:
+        key = field(entity_spec(entity).key)
+        keys = df.groupBy(key.alias("key")).agg(F.count(F.lit(1)).alias("n"))
+        nulls = F.sum(F.when(F.col("key").isNull(), F.col("n")).otherwise(F.lit(0)))
+        totals = keys.agg(F.sum("n").alias("n_raw"), F.count(F.lit(1)).alias("n_clean"), nulls.alias("n_null_keys"))
+        zero = F.lit(0).cast("bigint")
+        return totals.select(
+            F.lit(entity).alias("entity"),
+            F.coalesce("n_raw", zero).alias("n_raw"),
+            "n_clean",
+            F.coalesce("n_null_keys", zero).alias("n_null_keys"),
+        )
 
-    def of(layer: str) -> Column:
-        return F.sum(F.when(F.col("layer") == layer, F.col("n_rows")).otherwise(F.lit(0)))
+    return _stack(of(entity, df) for entity, df in raw.items())
 
-    paired = counts.groupBy("entity").agg(of("raw").alias("n_raw"), of("clean").alias("n_clean"))
+
+def summary_of(counts: DataFrame, widths: Mapping[str, Mapping[str, int]]) -> DataFrame:
+    """``layer_summary`` of the bronze and silver tables from ``key_counts`` and their widths."""
+    parts = []
+    for layer, column in zip(LAYERS, ("n_raw", "n_clean")):
+        width = F.create_map(*[F.lit(x) for pair in widths[layer].items() for x in pair])
+        parts.append(
+            F.struct(F.lit(layer).alias("layer"), F.col(column).alias("n_rows"), width[F.col("entity")].alias("n_columns"))
+        )
+    both = counts.select("entity", F.explode(F.array(*parts)).alias("row"))
+    return both.select("row.layer", "entity", "row.n_rows", "row.n_columns")
+
+
+def layer_compare(raw: Mapping[str, DataFrame], clean: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Row counts before and after cleaning: (entity, n_raw, n_clean, difference, note).
+
+    Without ``clean``, for raw tables that are not cleaned yet, from ``key_counts``.
+    """
+    if clean is None:
+        paired = key_counts(raw).drop("n_null_keys")
+    else:
+        counts = layer_summary({"raw": raw, "clean": clean})
+
+        def of(layer: str) -> Column:
+            return F.sum(F.when(F.col("layer") == layer, F.col("n_rows")).otherwise(F.lit(0)))
+
+        paired = counts.groupBy("entity").agg(of("raw").alias("n_raw"), of("clean").alias("n_clean"))
     difference = F.col("n_raw") - F.col("n_clean")
     return paired.withColumns(
         {
@@ -107,11 +155,17 @@ def layer_compare(raw: Mapping[str, DataFrame], clean: Mapping[str, DataFrame])
     )
 
 
-def _n_cast_fail(df: DataFrame, name: str, wanted) -> Column:
-    """Values of the field that are lost when it is cast to the target type."""
+def _n_cast_fail(blank: DataFrame, name: str, wanted) -> Column:
+    """Values of the field that are lost when it is cast to the target type.
+
+    ``blank`` is an empty table of the same schema: whether a conversion exists is asked there,
+    so that the plan behind the table is not analysed once a field.
+    """
     value = field(name)
+    if blank.schema[name].dataType == wanted:
+        return F.lit(0).cast("bigint")
     try:
-        df.select(value.try_cast(wanted))
+        blank.select(value.try_cast(wanted))
     except AnalysisException:  # no such conversion exists: every value would be lost
         return F.count(value)
     return F.count_if(value.isNotNull() & value.try_cast(wanted).isNull())
@@ -129,6 +183,7 @@ def schema_compliance(df: DataFrame, entity: str, schema: StructType | None = No
     wanted = {f.name: f.dataType for f in schema}
     actual = {f.name: f.dataType for f in df.schema}
     no_count = F.lit(None).cast("bigint")
+    blank = df.sparkSession.createDataFrame([], df.schema)
     rows = []
     for name in [*wanted, *(n for n in actual if n not in wanted)]:
         expected, present = name in wanted, name in actual
@@ -144,7 +199,7 @@ def schema_compliance(df: DataFrame, entity: str, schema: StructType | None = No
                     "expected_type": F.lit(wanted[name].simpleString() if expected else None).cast("string"),
                     "actual_type": F.lit(actual[name].simpleString() if present else None).cast("string"),
                     "n_nulls": F.count(F.lit(1)) - F.count(field(name)) if present else no_count,
-                    "n_cast_fail": _n_cast_fail(df, name, wanted[name]) if both else no_count,
+                    "n_cast_fail": _n_cast_fail(blank, name, wanted[name]) if both else no_count,
                 },
             )
         )
@@ -176,6 +231,7 @@ def stored_reports(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
         "layer_compare": layer_compare(raw, clean),
         "required_violations": required_violations(clean),
         "completeness": completeness(clean),
+        "key_counts": key_counts(raw),
         "schema_compliance": _stack(schema_compliance(df, entity) for entity, df in clean.items()),
         "defaulted_codes": defaulted_codes(raw),
     }

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,10 +51,22 @@ class Layout:
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:
-    """Fresh folder for intermediate tables, under the shared folder the cluster names.
+    """Fresh folder for intermediate tables, on storage that all executors share.
 
-    Only where no ``spark.checkpoint.dir`` is set (a local test) is it a temporary folder.
+    That is below ``spark.checkpoint.dir``, else below the warehouse. On a cluster, a warehouse on
+    local disks is refused: each executor would write its part to its own machine.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    base = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="clearledger-")
-    return f"{base}/{label}-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+        local = urlparse(base).scheme in ("", "file")
+        master = spark.sparkContext.master
+        if local and (not master.startswith("local") or master.startswith("local-cluster")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate tables."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -1,17 +1,20 @@
-"""Bronze tables of the five entities, derived from the driver's tables.
+"""Bronze tables of the five entities: columns of the driver's tables with known defects.
 
-region -> bank, nation -> branch, customer -> contact, orders -> account, lineitem -> holding.
-Every defect depends only on the row's own keys (see operators.defects). The number at the end
-of each defect is its salt; each use has its own, so that defects of one row are unrelated.
+supplier -> bank, part -> branch, customer -> contact, orders -> account, lineitem -> holding.
+Only the names of the raw columns are given; their values are those of the driver's tables, and
+codes run through every spelling that the library knows. There is one rate for each kind of
+defect, whatever the field. Each choice depends only on the row's own key (see
+``operators.defects``) and the number of its column.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clearledger.functions import codes, parsing
 from clearledger.operators.defects import (
     add_newer_copies,
     blank_out,
@@ -23,37 +26,28 @@ from clearledger.operators.defects import (
 )
 from clearledger.sources.layers import Layout
 
-# The spellings and formats that source systems use.
-BANK_STATUS = ("active", "Active", "ACTIVE", "1", "inactive", "0")
-BRANCH_ACTIVE = ("true", "True", "1", "yes", "false", "False", "0", "no")
-CONTACT_ACTIVE = ("active", "Active", "ACTIVE", "inactive", "closed", "1", "0")
-ACCOUNT_STATUS = ("open", "Open", "OPEN", "closed", "Closed", "CLOSED", "dormant", "1", "0")
-HOLDING_STATUS = ("active", "Active", "ACTIVE", "matured", "closed", "1", "0")
-BOOLEAN_TEXTS = ("yes", "no", "true", "false", "1", "0", "Y", "N", None)
-BANK_COUNTRY = ("BE", "Belgium", "be", "BEL", "belgium")
-BRANCH_COUNTRY = ("BE", "Belgium", "be", "BEL")
-ACCOUNT_TYPE_TEXTS = (
-    "checking", "Checking", "CHECKING", "savings", "Savings", "SAVINGS",
-    "business", "Business", "joint", "Joint", "student",
-)
-HOLDING_TYPE_TEXTS = (
-    "deposit", "Deposit Account", "DEPOSIT", "savings", "Savings Account",
-    "current", "Current Account", "CURRENT", "loan", "Loan", "LOAN",
-    "credit_line", "Line of Credit", "investment", "Investment",
-    "term_deposit", "Term Deposit",
-)
-CURRENCY_TEXTS = ("EUR", "eur", "Eur", "USD", "GBP")
-TIMESTAMP_TEXTS = (
-    "yyyy-MM-dd HH:mm:ss",
-    "MM/dd/yyyy HH:mm",
-    "dd-MM-yyyy HH:mm:ss",
-    "yyyy/MM/dd",
-    "yyyy-MM-dd'T'HH:mm:ss.000'Z'",
-)
-BIRTH_DATE_TEXTS = ("yyyy-MM-dd", "dd/MM/yyyy", "M/d/yyyy", None)
-MATURITY_TEXTS = ("yyyy-MM-dd", "MM/dd/yyyy", "dd-MM-yyyy")
-CITIES = ("Brussels", "Antwerp", "Ghent", "Sint-Niklaas", "La Louvière")
-PROVINCES = ("Flanders", "Wallonia", "Brussels-Capital")
+NULL_PERCENT = 10
+KEYLESS_PERCENT = 2
+NEWER_EVERY = 20  # rows, of which one has a newer copy
+TIED_EVERY = 50  # rows, of which one has a copy changed at the same time
+
+Make = Callable[[Column, int], Column]
+
+
+def spellings(known: Mapping[object, tuple[str, ...]]) -> tuple[str | None, ...]:
+    """Every synonym as it is, in upper case and capitalised; an unknown text; NULL."""
+    words = [w for group in known.values() for w in group]
+    return (*dict.fromkeys(v for w in words for v in (w, w.upper(), w.capitalize())), "no such code", None)
+
+
+BOOLEAN_TEXTS = spellings(codes.BOOLEANS)
+STATE_TEXTS = spellings(codes.STATES)
+COUNTRY_TEXTS = spellings(codes.COUNTRIES)
+ACCOUNT_TYPE_TEXTS = spellings(codes.ACCOUNT_TYPES)
+HOLDING_TYPE_TEXTS = spellings(codes.HOLDING_TYPES)
+CURRENCY_TEXTS = ("EUR", "usd", "Gbp")
+TIME_TEXTS = (*parsing.TIMESTAMP_FORMATS, "dd-MM-yyyy", "'about 'yyyy", None)
+DATE_TEXTS = (*parsing.DATE_FORMATS, "M/d/yyyy", None)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,204 +63,140 @@ def tenths(key: Column, n: int, salt: int) -> Column:
     return F.when(bucket(key, 100, salt + 1) == 0, F.lit("n/a")).otherwise(text)
 
 
-def moment(start: str, key: Column, days: int, salt: int) -> Column:
-    """Time within ``days`` days after ``start``, to the minute."""
-    return F.lit(start).cast("timestamp_ntz") + F.make_dt_interval(
-        bucket(key, days, salt).cast("int"), bucket(key, 24, salt + 1).cast("int"),
-        bucket(key, 60, salt + 2).cast("int"),
-    )
-
-
-def messy_time(time: Column, key: Column, salt: int) -> Column:
-    return vary_format(time, key, TIMESTAMP_TEXTS, salt)
-
-
 def money_text(amount: Column, key: Column, salt: int) -> Column:
     """Two-decimal amount as text, with a third digit to round, and a minus in 1 of 10 rows."""
     digits = F.concat(amount.cast("decimal(18,2)").cast("string"), bucket(key, 10, salt).cast("string"))
     return F.when(bucket(key, 10, salt + 1) == 0, F.concat(F.lit("-"), digits)).otherwise(digits)
 
 
-def staged(source: DataFrame, key: str | Column, **values: Callable[[Column], Column]) -> DataFrame:
-    """Add the row key ``_k`` and clean values named ``_name``.
+# Kinds of raw columns. Each makes a column from the row key and the number of the column.
 
-    Each is computed once, here; a defect mentions its input several times.
-    """
-    keyed = source.withColumn("_k", (F.col(key) if isinstance(key, str) else key).cast("bigint"))
-    return keyed.withColumns({f"_{name}": make(F.col("_k")) for name, make in values.items()})
 
+def plain(name: str) -> Make:
+    return lambda k, salt: F.col(name).cast("string")
 
-def bronze_bank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("_k")
-    base = staged(
-        table(spark, sf_dir, "region"),
-        "r_regionkey",
-        created=lambda k: moment("2010-01-01", k, 3650, 20),
-        modified=lambda k: moment("2020-01-01", k, 1000, 24),
+
+def text(name: str) -> Make:
+    def make(k: Column, salt: int) -> Column:
+        value = vary_case(F.col(name).cast("string"), k, salt)
+        return blank_out(pad_spaces(value, k, salt + 1), k, NULL_PERCENT, salt + 2)
+
+    return make
+
+
+def code(texts: tuple[str | None, ...]) -> Make:
+    return lambda k, salt: pad_spaces(vary_spelling(k, texts, salt), k, salt + 1)
+
+
+def number(name: str) -> Make:
+    def make(k: Column, salt: int) -> Column:
+        readable = F.col(name).cast("decimal(18,4)").cast("string")
+        return F.when(bucket(k, 100, salt) >= NULL_PERCENT, readable).otherwise(F.lit("n/a"))
+
+    return make
+
+
+def some_time(k: Column, salt: int) -> Column:
+    """A minute within some 27 years from 1995 on."""
+    return F.lit("1995-01-01").cast("timestamp_ntz") + F.make_dt_interval(
+        bucket(k, 10_000, salt).cast("int"), bucket(k, 24, salt + 1).cast("int"), bucket(k, 60, salt + 2).cast("int")
     )
-    rows = base.select(
-        k.cast("string").alias("src_bank_id"),
-        pad_spaces(vary_case(F.concat(F.lit("Bank of "), "r_name"), k, 1), k, 2).alias("bank_name"),
-        blank_out(F.concat(F.lit("BE-"), bucket(k, 900, 3) + 100), k, 10, 4).alias("bank_code"),
-        pad_spaces(F.concat(bucket(k, 200, 5) + 1, F.lit(" Rue de la Loi")), k, 6).alias("address_1"),
-        blank_out(F.concat(F.lit("Floor "), bucket(k, 10, 7) + 1), k, 60, 8).alias("address_2"),
-        vary_case(vary_spelling(k, CITIES, 9), k, 10).alias("city"),
-        blank_out(vary_case(vary_spelling(k, PROVINCES, 11), k, 12), k, 30, 13).alias("province"),
-        (bucket(k, 9000, 14) + 1000).cast("string").alias("zip_code"),
-        vary_spelling(k, BANK_COUNTRY, 15).alias("country_code"),
-        blank_out(F.concat(F.lit("+32-2-"), bucket(k, 900, 16) + 100), k, 15, 17).alias("phone"),
-        blank_out(vary_spelling(k, BANK_STATUS, 18), k, 5, 19).alias("status"),
-        messy_time(F.col("_created"), k, 23).alias("created_date"),
-        F.col("_modified").alias("modified_date"),
-        F.concat(F.lit("BANK-"), k + 1).alias("integration_key"),
+
+
+def time(name: str | None = None) -> Make:
+    """A time as text in one of the formats; that of a column, or some time."""
+    return lambda k, salt: vary_format(F.col(name) if name else some_time(k, salt + 1), k, TIME_TEXTS, salt)
+
+
+def date() -> Make:
+    return lambda k, salt: vary_format(some_time(k, salt + 1), k, DATE_TEXTS, salt)
+
+
+def _raw(source: DataFrame, number: int, key: Column, id_value: Column, modified: str, key_name: str, columns: Mapping[str, Make]) -> DataFrame:
+    """The raw table: its columns, the change time ``modified``, the integration key ``key_name``,
+    and copies of some rows."""
+    k = F.col("_k")
+    base = source.withColumn("_k", key.cast("bigint"))
+    first = 1000 * number
+    made = base.select(
+        *[make(k, first + 10 * i).alias(name) for i, (name, make) in enumerate(columns.items(), 1)],
+        some_time(k, first).alias(modified),
+        blank_out(id_value.cast("string"), k, KEYLESS_PERCENT, first + 5).alias(key_name),
         "_k",
-    )
-    return _with_copies(rows, F.when(F.col("_k") == 0, 1).otherwise(0), "modified_date")
+    ).withColumn("_first", F.col(modified))
+    newer = F.pmod(k, F.lit(NEWER_EVERY)) == 0
+    copies = F.when(newer | (F.pmod(k, F.lit(TIED_EVERY)) == 1), 1).otherwise(0)
+    later = F.col(modified) + F.make_dt_interval((bucket(k, 300, first + 6) + 1).cast("int"))
+    doubled = add_newer_copies(made, copies, modified, lambda copy: F.when(newer, later).otherwise(F.col(modified)))
+    salted = k + F.when(F.col(modified) > F.col("_first"), F.lit(1_000_003)).otherwise(F.lit(0))
+    return doubled.withColumn(modified, vary_format(F.col(modified), salted, TIME_TEXTS, first + 7)).drop("_k", "_first")
 
 
-def _with_copies(rows: DataFrame, copies: Column, modified: str) -> DataFrame:
-    """Add later copies, write ``modified`` as messy text, drop the row key ``_k``."""
-    k, time, original = F.col("_k"), F.col(modified), F.col("_original")
-    doubled = add_newer_copies(
-        rows.withColumn("_original", time),
-        copies,
-        modified,
-        lambda copy: time + F.make_dt_interval((bucket(k, 365, 27) + copy).cast("int")),
-    )
-    text_key = k + F.when(time > original, F.lit(1000003)).otherwise(F.lit(0))
-    return doubled.withColumn(modified, messy_time(time, text_key, 28)).drop("_original", "_k")
+def bronze_bank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    suppliers, nations = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
+    source = suppliers.join(nations, suppliers.s_nationkey == nations.n_nationkey, "left")
+    columns = {
+        "src_bank_id": plain("s_suppkey"), "bank_name": text("s_name"), "bank_code": text("s_nationkey"),
+        "address_1": text("s_name"), "address_2": text("n_regionkey"), "city": text("n_name"),
+        "province": text("n_name"), "zip_code": text("s_nationkey"), "country_code": code(COUNTRY_TEXTS),
+        "phone": text("s_suppkey"), "status": code(STATE_TEXTS), "created_date": time(),
+    }
+    return _raw(source, 1, F.col("s_suppkey"), F.col("s_suppkey"), "modified_date", "integration_key", columns)
 
 
 def bronze_branch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k, city = F.col("_k"), F.col("_city")
-    base = staged(
-        table(spark, sf_dir, "nation"),
-        "n_nationkey",
-        city=lambda k: vary_spelling(k, CITIES, 31),
-        created=lambda k: moment("2012-01-01", k, 2900, 48),
-        modified=lambda k: moment("2020-01-01", k, 1800, 52),
-    )
-    return base.select(
-        k.cast("string").alias("branch_id"),
-        F.col("n_regionkey").cast("string").alias("fk_bank_id"),
-        pad_spaces(F.concat(vary_case(city, k, 32), F.lit(" Branch "), "n_name"), k, 33).alias("branch_name"),
-        F.concat(F.lit("BR-"), bucket(k, 9000, 34) + 1000).alias("branch_code"),
-        F.concat(bucket(k, 300, 35) + 1, F.lit(" Grote Markt")).alias("street_address"),
-        blank_out(F.concat(F.lit("Suite "), bucket(k, 50, 36) + 1), k, 70, 37).alias("address_line_2"),
-        vary_case(city, k, 38).alias("city_name"),
-        blank_out(vary_case(vary_spelling(k, PROVINCES, 39), k, 40), k, 20, 41).alias("state_province"),
-        (bucket(k, 9000, 42) + 1000).cast("string").alias("postal_code"),
-        vary_spelling(k, BRANCH_COUNTRY, 43).alias("country"),
-        blank_out(F.concat(F.lit("+32 2 "), bucket(k, 900, 44) + 100), k, 20, 45).alias("phone_number"),
-        blank_out(vary_spelling(k, BRANCH_ACTIVE, 46), k, 5, 47).alias("is_active"),
-        messy_time(F.col("_created"), k, 51).alias("created_at"),
-        messy_time(F.col("_modified"), k, 55).alias("updated_at"),
-        F.concat(F.lit("BRANCH-"), k + 1).alias("integration_key"),
-    )
+    columns = {
+        "branch_id": plain("p_partkey"), "fk_bank_id": plain("p_size"), "branch_name": text("p_name"),
+        "branch_code": text("p_brand"), "street_address": text("p_type"), "address_line_2": text("p_brand"),
+        "city_name": text("p_name"), "state_province": text("p_type"), "postal_code": text("p_size"),
+        "country": code(COUNTRY_TEXTS), "phone_number": text("p_partkey"), "is_active": code(STATE_TEXTS),
+        "created_at": time(),
+    }
+    source = table(spark, sf_dir, "part")
+    return _raw(source, 2, F.col("p_partkey"), F.col("p_partkey"), "updated_at", "integration_key", columns)
 
 
 def bronze_contact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k, first, last, mail = F.col("_k"), F.col("_first"), F.col("_last"), F.col("_mail")
-    base = staged(
-        table(spark, sf_dir, "customer"),
-        "c_custkey",
-        first=lambda k: F.initcap("c_mktsegment"),
-        last=lambda k: F.concat(F.lit("Van "), "c_name"),
-        mail=lambda k: F.concat(F.lower("c_mktsegment"), F.lit("."), k, F.lit("@Example.com")),
-        born=lambda k: moment("1950-01-01", k, 20000, 74),
-        joined=lambda k: moment("2010-01-01", k, 4700, 78),
-        created=lambda k: moment("2010-01-01", k, 3650, 89),
-        modified=lambda k: moment("2020-01-01", k, 1000, 93),
-    )
-    rows = base.select(
-        k.cast("string").alias("customer_id"),
-        blank_out(pad_spaces(vary_case(first, k, 61), k, 62), k, 3, 63).alias("first_name"),
-        blank_out(pad_spaces(vary_case(last, k, 64), k, 65), k, 3, 66).alias("last_name"),
-        blank_out(pad_spaces(F.concat(first, F.lit(" "), last), k, 67), k, 30, 68).alias("full_name"),
-        blank_out(pad_spaces(vary_case(mail, k, 69), k, 70), k, 25, 71).alias("email"),
-        blank_out(F.concat(F.lit("+32-4"), bucket(k, 900000, 72) + 100000), k, 25, 73).alias("phone"),
-        vary_format(F.col("_born"), k, BIRTH_DATE_TEXTS, 77).alias("date_of_birth"),
-        messy_time(F.col("_joined"), k, 81).alias("join_date"),
-        blank_out(tenths(k, 300, 82), k, 15, 84).alias("tenure"),
-        blank_out(F.col("c_nationkey").cast("string"), k, 10, 85).alias("primary_branch_id"),
-        vary_spelling(k, BOOLEAN_TEXTS, 86).alias("managed_by_system"),
-        blank_out(vary_spelling(k, CONTACT_ACTIVE, 87), k, 5, 88).alias("is_active"),
-        messy_time(F.col("_created"), k, 92).alias("created_timestamp"),
-        F.col("_modified").alias("last_modified"),
-        F.concat(F.lit("CUST-"), k + 1).alias("src_integration_key"),
-        "_k",
-    )
-    return _with_copies(rows, F.when(F.pmod("_k", F.lit(20)) == 0, 1).otherwise(0), "last_modified")
+    columns = {
+        "customer_id": plain("c_custkey"), "first_name": text("c_mktsegment"), "last_name": text("c_name"),
+        "full_name": text("c_name"), "email": text("c_name"), "phone": text("c_custkey"),
+        "date_of_birth": date(), "join_date": time(), "tenure": number("c_acctbal"),
+        "primary_branch_id": plain("c_nationkey"), "managed_by_system": code(BOOLEAN_TEXTS),
+        "is_active": code(STATE_TEXTS), "created_timestamp": time(),
+    }
+    source = table(spark, sf_dir, "customer")
+    return _raw(source, 3, F.col("c_custkey"), F.col("c_custkey"), "last_modified", "src_integration_key", columns)
 
 
 def bronze_account(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The branch of an account is its customer's, found by a join."""
-    k, kind = F.col("_k"), F.col("_kind")
-    homes = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     orders = table(spark, sf_dir, "orders")
-    base = staged(
-        orders.join(homes, orders.o_custkey == homes.c_custkey, "left"),
-        "o_orderkey",
-        kind=lambda k: vary_spelling(k, ACCOUNT_TYPE_TEXTS, 101),
-        joined=lambda k: F.col("o_orderdate") + F.make_dt_interval(hours=bucket(k, 24, 108).cast("int")),
-        modified=lambda k: moment("2020-01-01", k, 1800, 116),
-    )
-    return base.select(
-        k.cast("string").alias("acct_id"),
-        F.concat(F.lit("BE"), bucket(k, 90, 102) + 10, F.lit("-"), k.cast("string")).alias("account_number"),
-        pad_spaces(
-            F.concat(F.lit("Account "), vary_case(kind, k, 103), F.lit(" - "), "o_orderpriority"), k, 104
-        ).alias("acct_name"),
-        F.when(bucket(k, 50, 105) == 0, F.lit(" money market ")).otherwise(kind).alias("account_type"),
-        blank_out(F.col("c_nationkey").cast("string"), k, 8, 106).alias("branch_ref"),
-        blank_out(F.col("o_custkey").cast("string"), k, 5, 107).alias("primary_contact_ref"),
-        messy_time(F.col("_joined"), k, 109).alias("join_date"),
-        blank_out(tenths(k, 250, 110), k, 20, 112).alias("tenure_years"),
-        blank_out(vary_spelling(k, ACCOUNT_STATUS, 113), k, 5, 114).alias("status_flag"),
-        messy_time(F.col("o_orderdate"), k, 115).alias("created"),
-        messy_time(F.col("_modified"), k, 119).alias("modified"),
-        F.concat(F.lit("ACCT-"), k + 1).alias("int_key"),
-    )
+    homes = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    source = orders.join(homes, orders.o_custkey == homes.c_custkey, "left")
+    columns = {
+        "acct_id": plain("o_orderkey"), "account_number": text("o_orderkey"), "acct_name": text("o_orderpriority"),
+        "account_type": code(ACCOUNT_TYPE_TEXTS), "branch_ref": plain("c_nationkey"),
+        "primary_contact_ref": plain("o_custkey"), "join_date": time("o_orderdate"),
+        "tenure_years": number("o_totalprice"), "status_flag": code(STATE_TEXTS), "created": time("o_orderdate"),
+    }
+    return _raw(source, 4, F.col("o_orderkey"), F.col("o_orderkey"), "modified", "int_key", columns)
 
 
 def bronze_holding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table repeats its (order, line) key by itself; the contact comes from the order."""
-    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
-    owners = orders.select("o_orderkey", "o_custkey")
-    k, kind, key, amount = F.col("_k"), F.col("_kind"), F.col("_ref"), F.col("_amount")
-    base = staged(
-        lines.join(owners, lines.l_orderkey == owners.o_orderkey, "left"),
-        F.col("l_orderkey") * 8 + F.col("l_linenumber") + F.col("l_partkey") * 104729 + F.col("l_suppkey") * 31,
-        kind=lambda k: vary_spelling(k, HOLDING_TYPE_TEXTS, 121),
-        ref=lambda k: F.concat("l_orderkey", F.lit("-"), "l_linenumber"),
-        amount=lambda k: F.col("l_extendedprice").cast("decimal(18,2)").cast("string"),
-        opened=lambda k: F.col("l_shipdate") + F.make_dt_interval(hours=bucket(k, 24, 136).cast("int")),
-        matures=lambda k: F.col("l_shipdate") + F.make_dt_interval((bucket(k, 10585, 122) + 365).cast("int")),
-        modified=lambda k: moment("2020-01-01", k, 1800, 143),
-    )
-    return base.select(
-        key.alias("holding_id"),
-        blank_out(F.col("o_custkey").cast("string"), k, 3, 123).alias("customer_ref"),
-        blank_out(F.col("l_orderkey").cast("string"), k, 5, 124).alias("account_ref"),
-        pad_spaces(F.concat(kind, F.lit(" - "), F.col("l_partkey").cast("string")), k, 125).alias("holding_name"),
-        F.when(bucket(k, 50, 126) == 0, F.lit("crypto")).otherwise(kind).alias("type"),
-        money_text(F.col("l_extendedprice"), k, 127).alias("balance_amount"),
-        blank_out(
-            F.when(bucket(k, 10, 129) < 3, F.concat(amount, F.lit(" EUR "))).otherwise(
-                F.concat(F.lit("€"), amount)
-            ), k, 10, 130,
-        ).alias("balance_display"),
-        pad_spaces(vary_spelling(k, CURRENCY_TEXTS, 131), k, 132).alias("currency"),
-        blank_out(
-            F.concat(bucket(k, 9, 133).cast("string"), F.lit("."), bucket(k, 90000, 134) + 10000), k, 15, 135
-        ).alias("interest_rate"),
-        messy_time(F.col("_opened"), k, 137).alias("opened_on"),
-        blank_out(vary_format(F.col("_matures"), k, MATURITY_TEXTS, 138), k, 40, 139).alias("maturity_date"),
-        blank_out(vary_spelling(k, HOLDING_STATUS, 140), k, 5, 141).alias("status"),
-        messy_time(F.col("l_shipdate"), k, 142).alias("created_timestamp"),
-        messy_time(F.col("_modified"), k, 146).alias("updated_timestamp"),
-        key.alias("int_key"),
-    )
+    """Line items repeat their (order, line) key by themselves; the contact comes from the order."""
+    lines = table(spark, sf_dir, "lineitem")
+    owners = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    source = lines.join(owners, lines.l_orderkey == owners.o_orderkey, "left")
+    reference = F.concat("l_orderkey", F.lit("-"), "l_linenumber")
+    key = F.col("l_orderkey") * 8 + F.col("l_linenumber") + F.col("l_partkey") * 104729 + F.col("l_suppkey") * 31
+    columns = {
+        "holding_id": lambda k, salt: reference, "customer_ref": plain("o_custkey"), "account_ref": plain("l_orderkey"),
+        "holding_name": text("l_partkey"), "type": code(HOLDING_TYPE_TEXTS), "balance_amount": number("l_extendedprice"),
+        "balance_display": text("l_linestatus"), "currency": code(CURRENCY_TEXTS), "interest_rate": number("l_discount"),
+        "opened_on": time("l_shipdate"), "maturity_date": time(), "status": code(STATE_TEXTS),
+        "created_timestamp": time("l_shipdate"),
+    }
+    return _raw(source, 5, key, reference, "updated_timestamp", "int_key", columns)
 
 
 BRONZE = {
