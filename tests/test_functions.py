@@ -52,12 +52,15 @@ def test_parse_date(column_of):
 
 def test_years_out_of_range_are_null(column_of):
     """Spark's own try_to_timestamp fails the whole job on these."""
-    huge = ["+300000-01-01", "-290309-01-01 00:00:00", "01/01/+999999999", "+290000/01/01"]
-    assert column_of(parsing.parse_timestamp, huge) == [None] * 4
-    assert column_of(parsing.parse_date, huge) == [None] * 4
+    huge = ["+300000-01-01", "-290309-01-01 00:00:00", "01/01/+999999999", "+294247-01-01", "-290308/12/31"]
+    assert column_of(parsing.parse_timestamp, huge) == [None] * 5
+    assert column_of(parsing.parse_date, huge) == [None] * 5
     as_text = lambda c: parsing.parse_timestamp(c).cast("string")
-    assert column_of(as_text, ["+289999-01-01", "+12016/03/15", "0099-01-02"]) == [
-        "+289999-01-01 00:00:00",
+    last = ["+289999-01-01", "+290000-01-01", "+294246-12-31", "-290307-01-01", "-100000-06-01"]
+    assert column_of(as_text, last) == [f"{t} 00:00:00" for t in last]
+    assert column_of(lambda c: parsing.parse_date(c).cast("string"), last) == last
+    assert column_of(as_text, ["290000-01-01", "+12016/03/15", "0099-01-02"]) == [
+        None,
         "+12016-03-15 00:00:00",
         "0099-01-02 00:00:00",
     ]

@@ -97,7 +97,12 @@ def test_latest_with_several_keys_and_a_map_column(spark):
     df = spark.range(40).select(
         (F.col("id") % 2).alias("a"), (F.col("id") % 3).alias("b"), "id", F.create_map(F.lit("x"), F.col("id")).alias("m")
     )
-    got = latest_per_key(df, ["a", "b"], "id").collect()
+    with pytest.raises(ValueError, match="m; name the columns"):
+        latest_per_key(df, ["a", "b"], "id")
+    nested = df.withColumn("m", F.array(F.struct("m")))
+    with pytest.raises(ValueError, match="m; name the columns"):
+        latest_per_key(nested, ["a", "b"], "id")
+    got = latest_per_key(df, ["a", "b"], "id", tie_break=["id"]).collect()
     assert sorted(r.id for r in got) == [34, 35, 36, 37, 38, 39]
     assert all(r.m == {"x": r.id} for r in got)
 
