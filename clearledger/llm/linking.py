@@ -20,6 +20,7 @@ from clearledger.llm.common import Tables, text_slices
 from clearledger.llm.components import connected_components
 
 SHORT_LIST = 64
+SECOND_KEYS = 12
 BLOCK = 128
 GROUP_ELEMENTS = 300_000
 _BITS = 1 << 26
@@ -155,21 +156,41 @@ def _blocks_linked(elements: Callable[[str], np.ndarray], group: pa.Table) -> pa
     return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)] or [pa.array([], pa.int64())] * 2, ["a", "b"])
 
 
-def _balls(tables: Tables, sets: Sets, texts: DataFrame, long_lists: DataFrame) -> tuple[DataFrame | None, list[DataFrame]]:
-    """Compare long lists with centres, a few more each round, until every member is near one.
+def _refined(keys: DataFrame, lists: DataFrame) -> DataFrame:
+    """(key, id, n): the members of long lists under their list's key and another of their own.
 
-    Gives (c, id, both, any, inner) of all comparisons, and lists that became short. A member is
-    inner if its similarity to the centre is 1/2 or more. A partner of an inner member is then
-    within 1/4 of the centre, by the triangle inequality of the Jaccard distance, so pairs of an
-    inner member are all found in that centre's ball; the others stay in the list. Centres leave
-    it, having met every member.
+    Similar sets share several keys, sets that only have a common passage rarely a second one.
+    The other keys are the ``SECOND_KEYS`` with the least hash, a choice that similar sets agree
+    on; a pair at 0.75 shares a list and one of them in most of the lists that it shares.
     """
-    balls, short, centres = None, [], 1
+    ids = lists.select("id").distinct()
+    ranked = F.array_sort(F.collect_set(F.struct(F.xxhash64("key").alias("h"), F.col("key").alias("k"))))
+    own = keys.join(ids, "id", "left_semi").groupBy("id").agg(F.slice(ranked, 1, SECOND_KEYS).alias("own"))
+    second = lists.select("key", "id", "n").join(own, "id").withColumn("other", F.explode("own")).filter("key != other.k")
+    first, other = F.least("key", "other.k"), F.greatest("key", "other.k")
+    return second.select(F.xxhash64(first, other).alias("key"), "id", "n").distinct()
+
+
+def _balls(
+    tables: Tables, sets: Sets, texts: DataFrame, keys: DataFrame, long_lists: DataFrame
+) -> tuple[DataFrame | None, list[DataFrame]]:
+    """Compare long lists with centres until every member is near one.
+
+    Gives (c, id, both, any, home) of all comparisons, and lists that became short. A member is at
+    home with the least centre of its list that it has a similarity of 1/2 or more with. A partner
+    of it is then within 1/4 of that centre, by the triangle inequality of the Jaccard distance,
+    so all its pairs of that list are found in that ball; the others stay in the list. Centres
+    leave it, having met every member. One centre settles lists of near copies; what is left of
+    a long list is refined by second keys, and then met by more centres each round.
+    """
+    balls, homes, short, centres, round_ = None, None, [], 1, 0
     while not long_lists.isEmpty():
         order = F.row_number().over(Window.partitionBy("key").orderBy("id"))
-        heads = long_lists.groupBy("key").agg(F.min("id").alias("c"), F.min_by("n", "id").alias("n_c")) if centres == 1 else (
-            long_lists.withColumn("k", order).filter(F.col("k") <= centres).select("key", F.col("id").alias("c"), F.col("n").alias("n_c"))
-        )
+        if centres == 1:
+            heads = long_lists.groupBy("key").agg(F.min("id").alias("c"), F.min_by("n", "id").alias("n_c"))
+        else:
+            ranked = long_lists.withColumn("k", order).filter(F.col("k") <= centres)
+            heads = ranked.select("key", F.col("id").alias("c"), F.col("n").alias("n_c"))
         heads = tables.put(heads, "centres")
         met = tables.put(long_lists.join(heads, "key").filter("id != c").select("key", "c", "id", "n_c", "n"), "met")
         near = met.filter("4 * least(n, n_c) >= greatest(n, n_c)")
@@ -177,28 +198,43 @@ def _balls(tables: Tables, sets: Sets, texts: DataFrame, long_lists: DataFrame)
         if balls is not None:
             ask = ask.join(balls.select(F.col("c").alias("a"), F.col("id").alias("b")), ["a", "b"], "left_anti")
         told = compare(tables, sets, texts, ask).select(F.col("a").alias("c"), F.col("b").alias("id"), "both", "any")
-        balls = tables.put(told if balls is None else balls.unionByName(told), "balls")
-        inner = met.join(balls.filter("2 * both >= any").select("c", "id"), ["c", "id"]).select("key", "id").distinct()
-        done = inner.union(heads.select("key", F.col("c").alias("id")))
-        rest = long_lists.join(done, ["key", "id"], "left_anti").drop("size")
-        sizes = rest.groupBy("key").agg(F.count("*").alias("size")).filter("size > 0")
+        balls = told if balls is None else tables.put(balls.unionByName(told), "balls")
+        inner = met.join(balls.filter("2 * both >= any").select("c", "id"), ["c", "id"])
+        inner = tables.put(inner.groupBy("key", "id").agg(F.min("c").alias("c")), "inner")
+        at_home = inner.select("c", "id").distinct()
+        homes = at_home if homes is None else homes.union(at_home).distinct()
+        done = inner.select("key", "id").union(heads.select("key", F.col("c").alias("id")))
+        rest = long_lists.select("key", "id", "n").join(done, ["key", "id"], "left_anti")
+        sizes = rest.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
         rest = tables.put(rest.join(sizes, "key"), "rest")
-        short.append(rest.filter(f"size between 2 and {SHORT_LIST}"))
+        short.append(rest.filter(f"size <= {SHORT_LIST}"))
         long_lists = rest.filter(f"size > {SHORT_LIST}")
-        centres *= 4
+        if round_ == 0 and not long_lists.isEmpty():
+            lists = shared_keys(tables, _refined(keys, long_lists))
+            short.append(lists.filter(f"size <= {SHORT_LIST}"))
+            long_lists = lists.filter(f"size > {SHORT_LIST}")
+        else:
+            centres *= 4
+        round_ += 1
+    if balls is not None:
+        home = homes.select("c", "id").withColumn("home", F.lit(True))
+        balls = balls.join(home, ["c", "id"], "left").withColumn("home", F.coalesce("home", F.lit(False)))
+        balls = tables.put(balls, "balls")
     return balls, short
 
 
 def _inside_balls(tables: Tables, sets: Sets, texts: DataFrame, balls: DataFrame, components: DataFrame) -> DataFrame:
     """Links between different components inside the balls, by blocks of members.
 
-    Only pairs with a member outside the ball's largest component are left to compare.
+    Only balls that some member is at home in count, and there only pairs with a member outside
+    the ball's largest component are left to compare.
     """
-    outer = balls.filter("4 * both >= any").select("c", "id").union(balls.select("c", F.col("c").alias("id"))).distinct()
+    used = balls.filter("home").select("c").distinct()
+    outer = balls.filter("4 * both >= any").join(used, "c", "left_semi").select("c", "id")
     members = outer.join(components, "id", "left").withColumn("component", F.coalesce("component", "id"))
     counts = members.groupBy("c", "component").agg(F.count("*").alias("n"))
     largest = counts.groupBy("c").agg(F.max_by("component", F.struct("n", "component")).alias("major"), F.sum("n").alias("size"), F.count("*").alias("kinds"))
-    open_balls = largest.filter("kinds > 1").withColumn("minors", F.lit(0))
+    open_balls = largest.filter("kinds > 1")
     marked = members.join(open_balls, "c").withColumn("minor", F.col("component") != F.col("major"))
     minors = marked.groupBy("c").agg(F.sum(F.col("minor").cast("long")).alias("m"))
     marked = marked.join(minors, "c").withColumn("rows", F.ceil(F.col("m") / BLOCK)).withColumn("columns", F.ceil(F.col("size") / BLOCK))
@@ -235,7 +271,7 @@ def components_of(
     short = tables.put(short, "pairs")
     ids = short.select(F.col("a").alias("id")).union(short.select("b")).union(long_lists.select("id")).distinct()
     texts = needed_texts(tables, sets, tables.put(ids, "ids"))
-    balls, more = _balls(tables, sets, texts, long_lists)
+    balls, more = _balls(tables, sets, texts, keys, long_lists)
     for m in more:
         short = short.unionByName(pairs_in_lists(m).drop("shared"))
     if more:
