@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from clearledger.llm import linking
 from clearledger.llm.common import Tables, slices
-from clearledger.llm.shingles import mix
+from clearledger.llm.shingles import distinct, mix
 
 WIDTH = 8
 MIN_CHARS = 40
@@ -46,7 +46,7 @@ def _rolling(codes: np.ndarray) -> np.ndarray:
 def char_shingles(line: str) -> np.ndarray:
     """Sorted distinct hashes of a normalised line's runs of eight characters."""
     codes = np.frombuffer(line.encode("utf-32-le"), dtype="<u4")
-    return np.unique(_rolling(codes)) if len(codes) >= WIDTH else np.zeros(0, dtype=np.uint64)
+    return distinct(_rolling(codes)) if len(codes) >= WIDTH else np.zeros(0, dtype=np.uint64)
 
 
 def _keys(signature: np.ndarray, kind: int) -> np.ndarray:
@@ -66,10 +66,11 @@ def signatures(lines: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.nd
     last = np.cumsum(lengths) - 1  # the line ends
     place = np.arange(len(hashes))
     whole = place + WIDTH <= last[owner[: len(hashes)].astype(np.int64)]
-    packed = np.unique((owner[: len(hashes)][whole] << np.uint64(44)) | (hashes[whole] >> np.uint64(20)))
+    packed = distinct((owner[: len(hashes)][whole] << np.uint64(44)) | (hashes[whole] >> np.uint64(20)))
     number = (packed >> np.uint64(44)).astype(np.int64)
     value = mix(packed & np.uint64((1 << 44) - 1))
-    lines_with, starts, sizes = np.unique(number, return_index=True, return_counts=True)
+    starts = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]])) if len(number) else number
+    lines_with, sizes = number[starts], np.diff(np.append(starts, len(number)))
     few = sizes < FEW
     if few.any():
         of_few = np.repeat(few, sizes)
@@ -167,7 +168,7 @@ def fuzzy_lines(
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     places = tables.put(_occurrences(source), "places")
     sets = linking.Sets(source.select("text"), _line_texts, char_shingles, once=True)
-    found = linking.components_of(tables, sets, _band_keys(source), F.lit(True))
+    found = linking.components_of(tables, sets, tables.put(_band_keys(source), "bands"), F.lit(True))
     component = F.coalesce("component", "line_id")
     joined = places.join(found.withColumnRenamed("id", "line_id"), "line_id", "left").select("id", "line_no", component.alias("component"))
     joined = tables.put(joined, "joined")

@@ -19,6 +19,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct values; sorting is several times faster here than ``numpy.unique``."""
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
+
+
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _PLACE = mix(np.arange(1, 4097, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)) | np.uint64(1)
 
@@ -51,7 +57,7 @@ def shingles_of(words: np.ndarray) -> np.ndarray:
     total = np.full(n - width + 1, width, dtype=np.uint64)
     for k in range(width):
         total += words[k : n - width + 1 + k] * _PLACE[k + 8]
-    return np.unique(mix(total))
+    return distinct(mix(total))
 
 
 def text_shingles(text: str) -> np.ndarray:
