@@ -12,7 +12,7 @@ from clearledger.llm.common import Tables, unsigned_crc32
 
 MAX_LEAVES = 65_536
 _DIGITS = 3  # hexadecimal digits that a round settles: 4096 counts a node
-_DIMENSION, _CRC, _TIE = 8, 8, 10  # digits of the parts of a key
+_DIMENSION, _CRC, _TIE, _ROW = 8, 8, 10, 16  # digits of the parts of a key
 
 
 def size_of(text: Column) -> Column:
@@ -39,30 +39,40 @@ def _hex(value: Column, digits: int) -> Column:
 
 
 def _medians(spark: SparkSession, rows: DataFrame, nodes: list[dict]) -> list[dict]:
-    """Weighted median key of each node: the least key with half of the node's bytes up to it.
-
-    ``rows`` has node, key, size. Each round sums the bytes by the next digits of the keys that
-    still begin like the median, map-side first, and keeps the digits that hold the half; so a
-    round moves 4096 sums a node and task at most, and one row a node reaches the driver.
+    """Cut of each node, a string: the keys below it are those up to the weighted median, which is
+    the least key with half of the node's bytes up to it. If that is the node's greatest key, the
+    cut is before it; so both sides have rows.
+
+    ``rows`` has node, key, size; no two rows have the same key. Each round sums the bytes by the
+    next digits of the keys that still begin like the median, map-side first, and keeps the digits
+    that hold the half, until one row has them; so a round moves 4096 sums a node and task at
+    most, and one row a node reaches the driver.
     """
-    state = [{"node": n["node"], "half": (n["bytes"] + 1) // 2, "prefix": "", "below": 0} for n in nodes]
-    total = _DIMENSION + _CRC + _TIE
-    for done in range(0, total, _DIGITS):
-        at = F.broadcast(_table(spark, state, "node: long, half: long, prefix: string, below: long"))
+    state = [{"node": n["node"], "total": n["bytes"], "half": (n["bytes"] + 1) // 2, "prefix": "", "below": 0} for n in nodes]
+    cuts = []
+    for done in range(0, _DIMENSION + _CRC + _TIE + _ROW, _DIGITS):
+        if not state:
+            break
+        at = F.broadcast(_table(spark, state, "node: long, total: long, half: long, prefix: string, below: long"))
+        same = [F.first(c).alias(c) for c in ("total", "half", "prefix", "below")]
         sums = (
             rows.join(at, "node")
             .filter(F.substring("key", 1, done) == F.col("prefix"))
             .groupBy("node", F.substring("key", done + 1, _DIGITS).alias("digits"))
-            .agg(F.sum("size").alias("bytes"), F.first("half").alias("half"), F.first("prefix").alias("prefix"), F.first("below").alias("below"))
+            .agg(F.sum("size").alias("bytes"), F.count("*").alias("n"), *same)
         )
         order = Window.partitionBy("node").orderBy("digits")
         upto = sums.withColumn("upto", F.col("below") + F.sum("bytes").over(order))
         first = upto.filter((F.col("upto") >= F.col("half")) & (F.col("upto") - F.col("bytes") < F.col("half")))
-        state = [
-            {"node": r.node, "half": r.half, "prefix": r.prefix + r.digits, "below": r.upto - r.bytes}
-            for r in first.select("node", "half", "prefix", "digits", "upto", "bytes").collect()
-        ]
-    return state
+        found = first.select("node", "total", "half", "prefix", "digits", "upto", "bytes", "n").collect()
+        state = []
+        for r in found:
+            prefix = r.prefix + r.digits
+            if r.n > 1:
+                state.append({"node": r.node, "total": r.total, "half": r.half, "prefix": prefix, "below": r.upto - r.bytes})
+            else:
+                cuts.append({"node": r.node, "cut": prefix if r.upto == r.total else prefix + "g"})
+    return cuts
 
 
 def shard(
@@ -80,8 +90,8 @@ def shard(
     range of the whole table) until its leaves are within 0.75 to 1.5 times ``target_bytes``, or
     hold one row; ``n_shards`` (a power of two) sets the target to the total divided by it. Rows
     that tie on the dimension are ordered by the crc32 of their text, so that equal texts stay
-    together, then by a hash of the id; so a value that holds a third of all rows is split like
-    any other. ``dimensions`` are columns of non-negative numbers below 2**32.
+    together, then by a hash of the id, then by a number of the row; so a value or an equal row that
+    holds a third of all rows is split like any other. ``dimensions`` are columns of non-negative numbers below 2**32.
 
     Only id, size, key and dimensions, never texts, are written or shuffled. The driver sees one
     row a node, ``MAX_LEAVES`` at most. Slots are gapless from 0 in each shard, ordered by key:
@@ -101,7 +111,8 @@ def shard(
         unsigned_crc32(text).alias("crc"),
         *[F.coalesce(F.least(c, F.lit(2**32 - 1)), F.lit(0)).cast("long").alias(n) for n, c in zip(names, chosen.values())],
     ).withColumn("node", F.lit(1).cast("long"))
-    rows = tables.put(rows.withColumn("tie", F.shiftrightunsigned(F.xxhash64("id"), 24)), "rows")
+    rows = rows.withColumn("tie", F.shiftrightunsigned(F.xxhash64("id"), 24)).withColumn("row", F.monotonically_increasing_id())
+    rows = tables.put(rows, "rows")
     spread = [F.min(n).alias(f"lo_{n}") for n in names] + [F.max(n).alias(f"hi_{n}") for n in names]
     whole, shards, key = None, [], None
     while True:
@@ -122,15 +133,15 @@ def shard(
         nodes = [{"node": r.node, "bytes": r.bytes, "dim": max(range(len(names)), key=lambda i: (part(r, names[i]), -i))} for r in wide]
         chosen_dim = F.broadcast(_table(spark, nodes, "node: long, dim: int"))
         along = F.element_at(F.array(*names), F.col("dim") + 1)
-        keyed = rows.join(chosen_dim, "node", "left").withColumn("key", _key(along))
+        keyed = rows.join(chosen_dim, "node", "left").withColumn("key", F.concat(_key(along), _hex(F.col("row"), _ROW)))
         medians = _medians(spark, keyed.filter("dim is not null").select("node", "key", "size"), nodes)
-        cut = F.broadcast(_table(spark, medians, "node: long, prefix: string"))
-        side = F.when(F.col("prefix").isNull(), F.col("node")).otherwise(2 * F.col("node") + F.when(F.col("key") <= F.col("prefix"), 0).otherwise(1))
-        split = keyed.join(cut, "node", "left").withColumn("node", side).drop("dim", "key", "prefix")
+        cut = F.broadcast(_table(spark, medians, "node: long, cut: string"))
+        side = F.when(F.col("cut").isNull(), F.col("node")).otherwise(2 * F.col("node") + F.when(F.col("key") < F.col("cut"), 0).otherwise(1))
+        split = keyed.join(cut, "node", "left").withColumn("node", side).drop("dim", "key", "cut")
         before, rows = rows, tables.put(split.select(*rows.columns), "split")
         tables.drop(before)
     numbers = _table(spark, [{"node": n, "shard": i} for i, n in enumerate(sorted(shards, key=_path))] or [{"node": 0, "shard": 0}], "node: long, shard: int")
-    placed = rows.join(F.broadcast(numbers), "node").select("id", "size", F.col("crc").alias("text_crc32"), "shard", "tie", _key(F.col(names[0])).alias("key"))
+    placed = rows.join(F.broadcast(numbers), "node").select("id", "size", F.col("crc").alias("text_crc32"), "shard", "row", _key(F.col(names[0])).alias("key"))
     return _slots(tables, placed).withColumnRenamed("id", id_col)
 
 
@@ -144,8 +155,8 @@ def _path(node: int) -> str:
 
 def _slots(tables: Tables, placed: DataFrame) -> DataFrame:
     dealt = (
-        placed.repartitionByRange("shard", "key")
-        .sortWithinPartitions("shard", "key")
+        placed.repartitionByRange("shard", "key", "row")
+        .sortWithinPartitions("shard", "key", "row")
         .withColumn("part", F.spark_partition_id())
         .withColumn("at", F.monotonically_increasing_id())
     )

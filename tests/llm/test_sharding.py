@@ -51,6 +51,19 @@ def test_odd_rows(spark, odd, nothing):
     assert shard(spark, nothing, n_shards=8).count() == 0
 
 
+@pytest.mark.parametrize("i", [7, None])
+def test_equal_rows_are_split(spark, docs, i):
+    texts = [(i, "the same row")] * 64 + [(k, "z" * k) for k in range(20)]
+    sizes = check(shard(spark, docs(texts), n_shards=8).collect(), texts)
+    assert len(sizes) == 8 and max(sizes.values()) - min(sizes.values()) <= 3 * 20
+
+
+def test_a_last_row_with_most_bytes_is_split_off(spark, docs):
+    texts = [(1, "a"), (2, "b" * 5000)]
+    sizes = check(shard(spark, docs(texts), target_bytes=1000).collect(), texts)
+    assert sorted(sizes.values()) == [2, 5001]
+
+
 def test_too_many_leaves_are_refused(spark, docs, monkeypatch):
     monkeypatch.setattr(sharding, "MAX_LEAVES", 4)
     with pytest.raises(ValueError, match="raise target_bytes"):
