@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -102,26 +103,26 @@ def signatures(lines: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.nd
         yield lines_with[many], sizes[many], _keys(least, 1)
 
 
-def _lines_of(text: str | None) -> Iterator[tuple[int, str]]:
-    """Number and normalised form of each line that is long enough."""
+def _lines_of(text: str | None, least: int) -> Iterator[tuple[int, str]]:
+    """Number and normalised form of each line with a word that has ``least`` characters."""
     for k, line in enumerate((text or "").split("\n")):
-        if len(line) >= MIN_CHARS and len(x := normal(line)) >= MIN_CHARS:
+        if len(line) >= least and len(x := normal(line)) >= max(1, least):
             yield k, x
 
 
-def _line_texts(part: pa.RecordBatch) -> Iterator[tuple[int, str]]:
+def _line_texts(part: pa.RecordBatch, least: int) -> Iterator[tuple[int, str]]:
     for text in part.column("text").to_pylist():
-        for _, line in _lines_of(text):
+        for _, line in _lines_of(text, least):
             yield line_id(line), line
 
 
-def _occurrences(source: DataFrame) -> DataFrame:
+def _occurrences(source: DataFrame, least: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", 4 << 20):
                 ids, numbers, hashes = [], [], []
                 for i, text in zip(part.column("id").to_pylist(), part.column("text").to_pylist()):
-                    for k, line in _lines_of(text):
+                    for k, line in _lines_of(text, least):
                         ids.append(i)
                         numbers.append(k)
                         hashes.append(line_id(line))
@@ -130,14 +131,14 @@ def _occurrences(source: DataFrame) -> DataFrame:
     return source.mapInArrow(run, "id long, line_no long, line_id long")
 
 
-def _band_keys(source: DataFrame) -> DataFrame:
-    """(key, id, n) of the lines, each once a task."""
+def _band_keys(source: DataFrame, least: int) -> DataFrame:
+    """(key, id, n) of the lines, each once a task. Lines without a shingle have none."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
             for part in slices(batch, "text", 1 << 20):
-                fresh = {i: line for i, line in _line_texts(part) if i not in seen}
+                fresh = {i: line for i, line in _line_texts(part, least) if len(line) >= WIDTH and i not in seen}
                 seen.update(fresh)
                 ids = np.array(list(fresh), dtype=np.int64)
                 for number, sizes, keys in signatures(list(fresh.values())) if fresh else ():
@@ -148,9 +149,14 @@ def _band_keys(source: DataFrame) -> DataFrame:
 
 
 def fuzzy_lines(
-    spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tables: Tables | None = None
+    spark: SparkSession,
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    tables: Tables | None = None,
+    least_chars: int = MIN_CHARS,
 ) -> DataFrame:
-    """Per line of at least ``MIN_CHARS`` characters: id, ``line_no`` (from 0), the id and number
+    """Per line of at least ``least_chars`` characters (1: every line with a word): id, ``line_no`` (from 0), the id and number
     of the line ``first`` in its component, and ``kept`` (whether it is that line).
 
     Lines are compared in lower case and with single spaces. Two link if the Jaccard similarity
@@ -158,17 +164,19 @@ def fuzzy_lines(
     minima propose pairs (a pair at 0.75 shares none with a chance of 0.0014, at 0.85 of 1e-5),
     the full sets decide, and components come from ``linking``. Of each component the line with
     the least id and number is kept. Equal lines are one line throughout, by a 64-bit hash, so a
-    line that a third of all documents have is compared once.
+    line that a third of all documents have is compared once. Lines under ``WIDTH`` characters
+    have no shingle and link only if they are equal.
 
-    Shorter lines are never touched and not in the result, nor are lines of null or empty texts.
+    Shorter lines than ``least_chars`` are never touched and not in the result, nor are lines of
+    null or empty texts.
     Rows that repeat an id count as one document; null ids come first. Other columns are ignored,
     whatever their names. An empty table gives no rows.
     """
     tables = tables or Tables(spark, "lines")
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    places = tables.put(_occurrences(source), "places")
-    sets = linking.Sets(source.select("text"), _line_texts, char_shingles, once=True)
-    found = linking.components_of(tables, sets, tables.put(_band_keys(source), "bands"), F.lit(True))
+    places = tables.put(_occurrences(source, least_chars), "places")
+    sets = linking.Sets(source.select("text"), partial(_line_texts, least=least_chars), char_shingles, once=True)
+    found = linking.components_of(tables, sets, tables.put(_band_keys(source, least_chars), "bands"), F.lit(True))
     component = F.coalesce("component", "line_id")
     joined = places.join(found.withColumnRenamed("id", "line_id"), "line_id", "left").select("id", "line_no", component.alias("component"))
     joined = tables.put(joined, "joined")
@@ -181,22 +189,28 @@ def fuzzy_lines(
     )
 
 
+#: A character that ``str.split`` does not take for white space.
+_WORD = r"(?U)[^\s\x1c-\x1f]"
+
+
 def without_lines(text: Column, numbers: Column) -> Column:
     """``text`` without the lines of these numbers (from 0)."""
     return F.array_join(F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains(numbers, i.cast("long"))), "\n")
 
 
-def remove_repeated_lines(spark: SparkSession, docs: DataFrame, tables: Tables | None = None) -> DataFrame:
+def remove_repeated_lines(
+    spark: SparkSession, docs: DataFrame, tables: Tables | None = None, least_chars: int = MIN_CHARS
+) -> DataFrame:
     """``docs`` (doc_id, text, n_chars and any others) without the lines that are not kept.
 
     A document that loses all its lines with a word is a copy and goes. ``n_chars`` follows the
     new text. All other rows and columns stay.
     """
-    found = fuzzy_lines(spark, docs, tables=tables)
+    found = fuzzy_lines(spark, docs, tables=tables, least_chars=least_chars)
     gone = found.filter("not kept").groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set("line_no").alias("__gone"))
     joined = docs.join(gone, docs.doc_id.eqNullSafe(gone["__id"]), "left")
     text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(without_lines(F.col("text"), F.col("__gone")))
-    left = joined.withColumn("text", text).filter(F.col("__gone").isNull() | F.col("text").rlike("\\S"))
+    left = joined.withColumn("text", text).filter(F.col("__gone").isNull() | F.col("text").rlike(_WORD))
     if "n_chars" in docs.columns:
         left = left.withColumn("n_chars", F.when(F.col("__gone").isNull(), F.col("n_chars")).otherwise(F.char_length("text")))
     return left.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -64,7 +64,7 @@ def op5_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.fuzzy_lines(spark, table(spark, sf_dir, "documents"))
+    return lines.fuzzy_lines(spark, table(spark, sf_dir, "documents"), least_chars=1)
 
 
 def op7_line_frequency_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

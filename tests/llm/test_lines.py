@@ -2,7 +2,8 @@ import random
 
 import numpy as np
 
-from clearledger.llm import lines, linking
+import corpus_pipeline
+from clearledger.llm import lines, linking, queries
 from clearledger.llm.lines import MIN_CHARS, char_shingles, fuzzy_lines, normal, remove_repeated_lines, signatures
 
 
@@ -112,3 +113,21 @@ def test_shingles_are_sets_of_runs():
         assert len(char_shingles(line)) == len(grams(line))
         assert char_shingles(line).dtype == np.uint64
     assert lines.line_id("x") != lines.line_id("y")
+
+
+def test_every_line_with_a_word(spark, docs):
+    rows = [(1, "MIT license.\n}\n\nOnly here, once"), (2, "MIT  License.\n \u00a0\n}"), (3, "}\nonly here, once!"), (4, "{\n\u3000")]
+    got = {(r.doc_id, r.line_no): (r.first_id, r.first_line_no) for r in fuzzy_lines(spark, docs(rows), least_chars=1).collect()}
+    same = {(i, k): (i, k) for i, k in ((1, 0), (1, 1), (1, 3), (4, 0))}
+    assert got == {**same, (2, 0): (1, 0), (2, 2): (1, 1), (3, 0): (1, 1), (3, 1): (1, 3)}
+    left = {r.doc_id: r.text for r in remove_repeated_lines(spark, docs(rows), least_chars=1).collect()}
+    assert left == {1: rows[0][1], 4: rows[3][1]}
+
+
+def test_the_query_and_the_pipeline_take_short_lines(spark, docs, tmp_path):
+    df = docs([(1, "All rights reserved.\nyes"), (2, "All rights reserved.\nno"), (3, "yes")])
+    df.write.parquet(f"{tmp_path}/in/documents.parquet")
+    got = queries.op6_fuzzy_lines(spark, f"{tmp_path}/in").collect()
+    assert {(r.doc_id, r.line_no) for r in got if not r.kept} == {(2, 0), (3, 0)} and len(got) == 5
+    left = corpus_pipeline.line_dedup(spark, df, "").collect()
+    assert {r.doc_id: r.text for r in left} == {1: "All rights reserved.\nyes", 2: "no"}
