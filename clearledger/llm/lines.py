@@ -120,15 +120,17 @@ def _occurrences(source: DataFrame, least: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", 4 << 20):
-                ids, numbers, hashes = [], [], []
-                for i, text in zip(part.column("id").to_pylist(), part.column("text").to_pylist()):
+                ids, rows, numbers, hashes = [], [], [], []
+                for i, row, text in zip(*(part.column(c).to_pylist() for c in ("id", "row", "text"))):
                     for k, line in _lines_of(text, least):
                         ids.append(i)
+                        rows.append(row)
                         numbers.append(k)
                         hashes.append(line_id(line))
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (ids, numbers, hashes)], ["id", "line_no", "line_id"])
+                columns = [pa.array(x, pa.int64()) for x in (ids, rows, numbers, hashes)]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "row", "line_no", "line_id"])
 
-    return source.mapInArrow(run, "id long, line_no long, line_id long")
+    return source.mapInArrow(run, "id long, row long, line_no long, line_id long")
 
 
 def _band_keys(source: DataFrame, least: int) -> DataFrame:
@@ -155,6 +157,7 @@ def fuzzy_lines(
     text_col: str = "text",
     tables: Tables | None = None,
     least_chars: int = MIN_CHARS,
+    row_col: str | None = None,
 ) -> DataFrame:
     """Per line of at least ``least_chars`` characters (1: every line with a word): id, ``line_no`` (from 0), the id and number
     of the line ``first`` in its component, and ``kept`` (whether it is that line).
@@ -169,23 +172,29 @@ def fuzzy_lines(
 
     Shorter lines than ``least_chars`` are never touched and not in the result, nor are lines of
     null or empty texts.
-    Rows that repeat an id count as one document; null ids come first. Other columns are ignored,
+    Rows that repeat an id count as one document; null ids come first. With ``row_col``, a column
+    of distinct numbers, each row is a document of its own, and the result has that column. Other columns are ignored,
     whatever their names. An empty table gives no rows.
     """
     tables = tables or Tables(spark, "lines")
-    source = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    row = F.col(f"`{row_col}`") if row_col else F.lit(0)
+    source = docs.select(
+        F.col(f"`{id_col}`").cast("long").alias("id"), row.cast("long").alias("row"), F.col(f"`{text_col}`").cast("string").alias("text")
+    )
     places = tables.put(_occurrences(source, least_chars), "places")
     sets = linking.Sets(source.select("text"), partial(_line_texts, least=least_chars), char_shingles, once=True)
     found = linking.components_of(tables, sets, tables.put(_band_keys(source, least_chars), "bands"), F.lit(True))
     component = F.coalesce("component", "line_id")
-    joined = places.join(found.withColumnRenamed("id", "line_id"), "line_id", "left").select("id", "line_no", component.alias("component"))
+    joined = places.join(found.withColumnRenamed("id", "line_id"), "line_id", "left").select("id", "row", "line_no", component.alias("component"))
     joined = tables.put(joined, "joined")
-    first = joined.groupBy("component").agg(F.min(F.struct("id", "line_no")).alias("first"), F.count("*").alias("n"))
+    first = joined.groupBy("component").agg(F.min(F.struct("id", "row", "line_no")).alias("first"), F.count("*").alias("n"))
     several = first.filter("n > 1").drop("n")
-    result = joined.join(several, "component", "left").select("id", "line_no", F.coalesce("first", F.struct("id", "line_no")).alias("first"))
+    own = F.struct("id", "row", "line_no")
+    result = joined.join(several, "component", "left").select("id", "row", "line_no", F.coalesce("first", own).alias("first"))
     return result.select(
-        F.col("id").alias(id_col), "line_no", F.col("first.id").alias("first_id"), F.col("first.line_no").alias("first_line_no"),
-        (F.col("id").eqNullSafe(F.col("first.id")) & (F.col("line_no") == F.col("first.line_no"))).alias("kept"),
+        F.col("id").alias(id_col), *([F.col("row").alias(row_col)] if row_col else []),
+        "line_no", F.col("first.id").alias("first_id"), F.col("first.line_no").alias("first_line_no"),
+        own.eqNullSafe(F.col("first")).alias("kept"),
     )
 
 
@@ -204,11 +213,14 @@ def remove_repeated_lines(
     """``docs`` (doc_id, text, n_chars and any others) without the lines that are not kept.
 
     A document that loses all its lines with a word is a copy and goes. ``n_chars`` follows the
-    new text. All other rows and columns stay.
+    new text. All other rows and columns stay. Each row is a document of its own, whatever its id;
+    for that, the input is written with a number for each row.
     """
-    found = fuzzy_lines(spark, docs, tables=tables, least_chars=least_chars)
-    gone = found.filter("not kept").groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set("line_no").alias("__gone"))
-    joined = docs.join(gone, docs.doc_id.eqNullSafe(gone["__id"]), "left")
+    tables = tables or Tables(spark, "lines")
+    numbered = tables.put(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    found = fuzzy_lines(spark, numbered, tables=tables, least_chars=least_chars, row_col="__row")
+    gone = found.filter("not kept").groupBy("__row").agg(F.collect_set("line_no").alias("__gone"))
+    joined = numbered.join(gone, "__row", "left")
     text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(without_lines(F.col("text"), F.col("__gone")))
     left = joined.withColumn("text", text).filter(F.col("__gone").isNull() | F.col("text").rlike(_WORD))
     if "n_chars" in docs.columns:
