@@ -20,10 +20,10 @@ from clearledger.llm.common import Tables, text_slices
 from clearledger.llm.components import connected_components
 
 SHORT_LIST = 64
-SECOND_KEYS = 12
 BLOCK = 128
 GROUP_ELEMENTS = 300_000
 _BITS = 1 << 26
+_BUCKETS = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -156,23 +156,51 @@ def _blocks_linked(elements: Callable[[str], np.ndarray], group: pa.Table) -> pa
     return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)] or [pa.array([], pa.int64())] * 2, ["a", "b"])
 
 
-def _refined(keys: DataFrame, lists: DataFrame) -> DataFrame:
-    """(key, id, n): the members of long lists under their list's key and another of their own.
+def _prefix(elements: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The elements of a set that two sets at 3/4 or more cannot both lack: the first
+    n - ceil(3n/4) + 1 in the order of (count of the bucket, hash)."""
+    order = np.lexsort((elements, counts[(elements % np.uint64(_BUCKETS)).astype(np.int64)]))
+    return elements[order[: len(elements) - (3 * len(elements) + 3) // 4 + 1]]
 
-    Similar sets share several keys, sets that only have a common passage rarely a second one.
-    The other keys are the ``SECOND_KEYS`` with the least hash, a choice that similar sets agree
-    on; a pair at 0.75 shares a list and one of them in most of the lists that it shares.
+
+def _by_prefixes(tables: Tables, sets: Sets, texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """(key, id, n): the elements in the prefix of each set of ``ids``, as keys.
+
+    Two sets at 3/4 have at least ceil(3n/4) elements in common, n the size of the larger. So the
+    first of those, in an order that holds for all sets, is in both prefixes, and no similar pair
+    is lost. The order takes rare elements first, by counts in buckets of the hash, so that sets
+    that only have a common passage rarely meet.
     """
-    ids = lists.select("id").distinct()
-    ranked = F.array_sort(F.collect_set(F.struct(F.xxhash64("key").alias("h"), F.col("key").alias("k"))))
-    own = keys.join(ids, "id", "left_semi").groupBy("id").agg(F.slice(ranked, 1, SECOND_KEYS).alias("own"))
-    second = lists.select("key", "id", "n").join(own, "id").withColumn("other", F.explode("own")).filter("key != other.k")
-    first, other = F.least("key", "other.k"), F.greatest("key", "other.k")
-    return second.select(F.xxhash64(first, other).alias("key"), "id", "n").distinct()
+    elements = sets.elements
+    chosen = tables.put(texts.join(ids, "id", "left_semi"), "prefix-texts")
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(_BUCKETS, dtype=np.int64)
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                at, n = np.unique((elements(text) % np.uint64(_BUCKETS)).astype(np.int64), return_counts=True)
+                total[at] += n
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["bucket", "n"])
+
+    table = chosen.mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(_BUCKETS, dtype=np.int64)
+    counts[table.column("bucket").to_numpy()] = table.column("n").to_numpy()
+    shared = tables.spark.sparkContext.broadcast(counts)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(batches):
+            for i, text in zip(part.column("id").to_pylist(), part.column("text").to_pylist()):
+                own = elements(text)
+                keys = _prefix(own, shared.value).view(np.int64)
+                columns = [keys, np.full(len(keys), i, dtype=np.int64), np.full(len(keys), len(own), dtype=np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "id", "n"])
+
+    return tables.put(chosen.mapInArrow(run, "key long, id long, n long"), "prefixes")
 
 
 def _balls(
-    tables: Tables, sets: Sets, texts: DataFrame, keys: DataFrame, long_lists: DataFrame
+    tables: Tables, sets: Sets, texts: DataFrame, long_lists: DataFrame
 ) -> tuple[DataFrame | None, list[DataFrame]]:
     """Compare long lists with centres until every member is near one.
 
@@ -180,8 +208,9 @@ def _balls(
     home with the least centre of its list that it has a similarity of 1/2 or more with. A partner
     of it is then within 1/4 of that centre, by the triangle inequality of the Jaccard distance,
     so all its pairs of that list are found in that ball; the others stay in the list. Centres
-    leave it, having met every member. One centre settles lists of near copies; what is left of
-    a long list is refined by second keys, and then met by more centres each round.
+    leave it, having met every member. One centre settles lists of near copies. The members that
+    are left in long lists go to lists by the elements of their prefixes, which hold every similar
+    pair of them; long ones of those are met by more centres each round.
     """
     balls, homes, short, centres, round_ = None, None, [], 1, 0
     while not long_lists.isEmpty():
@@ -210,7 +239,7 @@ def _balls(
         short.append(rest.filter(f"size <= {SHORT_LIST}"))
         long_lists = rest.filter(f"size > {SHORT_LIST}")
         if round_ == 0 and not long_lists.isEmpty():
-            lists = shared_keys(tables, _refined(keys, long_lists))
+            lists = shared_keys(tables, _by_prefixes(tables, sets, texts, long_lists.select("id").distinct()))
             short.append(lists.filter(f"size <= {SHORT_LIST}"))
             long_lists = lists.filter(f"size > {SHORT_LIST}")
         else:
@@ -271,7 +300,7 @@ def components_of(
     short = tables.put(short, "pairs")
     ids = short.select(F.col("a").alias("id")).union(short.select("b")).union(long_lists.select("id")).distinct()
     texts = needed_texts(tables, sets, tables.put(ids, "ids"))
-    balls, more = _balls(tables, sets, texts, keys, long_lists)
+    balls, more = _balls(tables, sets, texts, long_lists)
     for m in more:
         short = short.unionByName(pairs_in_lists(m).drop("shared"))
     if more:

@@ -1,12 +1,19 @@
 import random
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from clearledger.llm import lines, linking, queries
+from clearledger.llm import common, lines, linking, queries
 from clearledger.llm.lines import MIN_CHARS, char_shingles, fuzzy_lines, normal, remove_repeated_lines, signatures
 
 
+@pytest.fixture
+def tables(spark):
+    return common.Tables(spark, "test")
+
+
 def grams(line):
     return {line[i : i + 8] for i in range(len(line) - 7)}
 
@@ -108,6 +115,20 @@ def test_similar_lines_share_a_key():
     assert tried > 200 and missed <= 0.005 * tried
 
 
+def test_long_lists_lose_no_pair(spark, tables):
+    rng = random.Random(15)
+    passage = "".join(rng.choices("abcdefgh", k=60))
+    texts = [(i, passage + "".join(rng.choices("ijklmnopq", k=90))) for i in range(3 * linking.SHORT_LIST)]
+    texts += [(1000 + i, t[:-10] + "".join(rng.choices("xyz", k=10))) for i, t in texts[:60]]
+    # One list of all, and keys of their own that partners do not share and that rank before it.
+    keys = [(7, i, len(grams(t))) for i, t in texts] + [(10**6 * k + i, i, len(grams(t))) for i, t in texts for k in range(1, 40)]
+    source = spark.createDataFrame(texts, "id long, text string")
+    sets = linking.Sets(source, lambda part: zip(part.column("id").to_pylist(), part.column("text").to_pylist()), char_shingles)
+    found = linking.components_of(tables, sets, spark.createDataFrame(keys, "key long, id long, n long"), F.lit(True))
+    got = {r.id: r.component for r in found.collect() if r.id != r.component}
+    assert got == {1000 + i: i for i in range(60)}
+
+
 def test_shingles_are_sets_of_runs():
     for line in ("", "seven c", "eight ch", "aaaaaaaaaaaaaaaa", "漢字かな🙂漢字かな🙂", "a b" * 99):
         assert len(char_shingles(line)) == len(grams(line))
