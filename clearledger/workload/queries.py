@@ -360,22 +360,27 @@ def all_silver_counts(spark, sf_dir):
 _STORED: dict[tuple[str, str], Layout] = {}
 
 
+def store(spark: SparkSession, sf_dir: str) -> Layout:
+    """Bronze tables and the silver ones that every entity job makes of them, in a fresh folder."""
+    layout = Layout(scratch_folder(spark, "stored"))
+    for entity, df in bronze_tables(spark, sf_dir).items():
+        layout.write(df, "bronze", entity)
+    run_all(spark, layout)
+    return layout
+
+
 def stored(spark: SparkSession, sf_dir: str) -> Layout:
-    """Bronze tables and the silver ones that every entity job made of them, once a session."""
+    """What ``store`` gives, once a session."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _STORED:
-        layout = Layout(scratch_folder(spark, "stored"))
-        for entity, df in bronze_tables(spark, sf_dir).items():
-            layout.write(df, "bronze", entity)
-        run_all(spark, layout)
-        _STORED[key] = layout
+        _STORED[key] = store(spark, sf_dir)
     return _STORED[key]
 
 
 @query
 def run_all_stored(spark, sf_dir):
     """Store the bronze tables, run every entity job on them, compare the stored layers."""
-    return quality.stored_reports(spark, stored(spark, sf_dir))["layer_compare"]
+    return quality.stored_reports(spark, store(spark, sf_dir))["layer_compare"]
 
 
 @query
