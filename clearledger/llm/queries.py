@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearledger.llm import bpe, embeddings, langid, lines, minhash, packing, quality, secrets, sharding, toxicity
+from clearledger.llm import bpe, embeddings, html, langid, lines, minhash, packing, quality, ranking, secrets, sharding, toxicity, trie
 from clearledger.llm.common import id_remainder
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -104,6 +104,18 @@ def op10_blob_ledger_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_bag_deduplicated_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.rank(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(spark, trie.rebuilt(spark, table(spark, sf_dir, "conversations")))
+
+
+def op13_text_to_tag_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -117,6 +129,9 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_family_then_language,
         op9_kd_tree_shards,
         op10_blob_ledger_secrets,
+        op11_bag_deduplicated_search,
+        op12_conversation_prefix_trie,
+        op13_text_to_tag_extraction,
     )
 }
 OP7_SQL = """
@@ -210,4 +225,76 @@ SELECT m.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.c AS component_id, m.
 FROM m LEFT JOIN n USING (doc_id)
 """
 
-ORACLE: dict[str, str] = {"op2_sign_hash_near_duplicates": OP2_SQL, "op4_bottom_k_near_duplicates": OP4_SQL, "op7_line_frequency_rules": OP7_SQL}
+OP11_SQL = """
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), $terms) AS ws
+    FROM documents
+),
+i AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), $terms)) AS term
+    FROM benchmark
+),
+total AS (SELECT count(*) FILTER (len(ws) > 0) AS n_docs, sum(len(ws))::BIGINT AS n_terms FROM d),
+t AS (
+    SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ws) AS term FROM d)
+    SEMI JOIN i USING (term) GROUP BY r, term
+),
+w AS (
+    SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT AS w
+    FROM (SELECT term, count(*) AS df FROM t GROUP BY term), total
+),
+m AS (SELECT r, doc_id, 100 - 90 + (90 * len(ws)::BIGINT * n_docs) // n_terms AS m FROM d, total),
+s AS (
+    SELECT item_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+    FROM t JOIN m USING (r) JOIN w USING (term) JOIN i USING (term) GROUP BY item_id, r
+)
+SELECT item_id, rank, doc_id, score FROM (
+    SELECT item_id, doc_id, score,
+        (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST))::INTEGER AS rank
+    FROM s JOIN m USING (r) WHERE score > 0
+) WHERE rank <= 10
+""".replace("$terms", r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'")
+
+_CRC_STEP = "list_reduce(list_prepend({x}, [0, 0, 0, 0, 0, 0, 0, 0]), lambda y, z: xor(y >> 1, 3988292384 * (y & 1)))"
+_CRC = (
+    "xor(list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)), "
+    "lambda a, b: " + _CRC_STEP.format(x="xor(a, b)") + "), 4294967295)"
+)
+
+OP12_SQL = f"""
+WITH o AS (
+    SELECT conv_id, list(struct_pack(r := coalesce(role, ''), t := coalesce(text, ''))
+        ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS ts
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+),
+h AS (SELECT conv_id, ts, {_CRC} % 9 AS h FROM o),
+c AS (
+    SELECT h.conv_id, list_concat(coalesce(b.ts[:h.h], []), h.ts[h.h + 1:]) AS ts
+    FROM h LEFT JOIN h b ON b.conv_id = h.conv_id - h.conv_id % 5
+),
+m AS (SELECT conv_id, len(ts) AS n, unnest(range(0, len(ts) + 1)) AS d, ts FROM c),
+k AS (SELECT conv_id, n, d, ts[:d] AS p FROM m),
+v AS (
+    SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256
+    FROM k GROUP BY p, d
+),
+x AS (
+    SELECT v.*, u.conv_id AS parent_conv_id, coalesce(w.n, 0) AS n_children
+    FROM v LEFT JOIN v u ON u.d = v.d - 1 AND u.p = v.p[:v.d - 1]
+    LEFT JOIN (SELECT p[:d - 1] AS p, count(*) AS n FROM v WHERE d > 0 GROUP BY ALL) w ON w.p = v.p
+),
+up AS (SELECT *, unnest(range(0, d + 1)) AS e FROM x),
+s AS (
+    SELECT p[:e] AS p, sum((n_children = 0)::BIGINT) AS n_leaves,
+        sum(CASE WHEN d > 0 THEN (n_convs - 1) * strlen(p[d].t) ELSE 0 END) AS saved_tokens
+    FROM up GROUP BY 1
+)
+SELECT x.conv_id, d::BIGINT AS depth, parent_conv_id, n_convs::BIGINT AS n_convs, n_children::BIGINT AS n_children,
+    n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, ends_sha256
+FROM x JOIN s ON s.p = x.p
+"""
+
+ORACLE: dict[str, str] = {"op2_sign_hash_near_duplicates": OP2_SQL, "op4_bottom_k_near_duplicates": OP4_SQL, "op7_line_frequency_rules": OP7_SQL, "op11_bag_deduplicated_search": OP11_SQL, "op12_conversation_prefix_trie": OP12_SQL}
