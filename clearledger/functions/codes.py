@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
-from functools import reduce
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -65,19 +64,27 @@ HOLDING_TYPE_LABELS = {
 UNKNOWN_LABEL = "Unknown"
 
 
-def _case(branches: Iterable[tuple[Column, object]], default) -> Column:
-    # F.when opens the CASE, Column.when extends it.
-    case = reduce(lambda expr, branch: expr.when(branch[0], F.lit(branch[1])), branches, F)
-    return case.otherwise(default if isinstance(default, Column) else F.lit(default))
+def _looked_up(key: Column, table: Mapping[object, object], default) -> Column:
+    """Value of ``key`` in a constant table, ``default`` where it is NULL or unknown.
+
+    A table is one constant and one lookup in the generated code, however many entries it has.
+    """
+    constant = F.create_map(*[F.lit(x) for entry in table.items() for x in entry])
+    found = constant[key] if table else F.lit(None)
+    return F.coalesce(found, default if isinstance(default, Column) else F.lit(default))
 
 
 def resolve_codes(text: Column, codes: Mapping[object, Sequence[str]], default=None) -> Column:
-    """Code whose synonyms contain the text, ignoring case and surrounding spaces.
+    """Code whose synonyms contain the text, ignoring case and surrounding spaces; that of the
+    first, if several do.
 
     ``default`` (a value or a column) stands in for unknown and NULL texts.
     """
-    word = lower_trimmed(text)
-    return _case([(word.isin(*synonyms), code) for code, synonyms in codes.items()], default)
+    table: dict[str, object] = {}
+    for code, synonyms in codes.items():
+        for word in synonyms:
+            table.setdefault(word, code)
+    return _looked_up(lower_trimmed(text), table, default)
 
 
 def is_listed(text: Column, codes: Mapping[object, Sequence[str]]) -> Column:
@@ -88,7 +95,7 @@ def is_listed(text: Column, codes: Mapping[object, Sequence[str]]) -> Column:
 
 def display_codes(code: Column, labels: Mapping[object, object], default) -> Column:
     """Label (or dependent code) of each code."""
-    return _case([(code == F.lit(value), label) for value, label in labels.items()], default)
+    return _looked_up(code, labels, default)
 
 
 def normalize_boolean(text: Column) -> Column:

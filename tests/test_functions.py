@@ -50,6 +50,41 @@ def test_parse_date(column_of):
     assert column_of(parsing.parse_date, list(rows)) == list(rows.values())
 
 
+def test_signed_years_with_zeros(column_of):
+    """As Spark reads them."""
+    rows = {"29/05/+012016": "+12016-05-29", "+0000002016-05-29": "2016-05-29", "-000044/03/15": "-0044-03-15", "+2016-05-29": None, "-0000-05-29": None, "0000-05-29": "0000-05-29"}
+    assert column_of(lambda c: parsing.parse_date(c).cast("string"), list(rows)) == list(rows.values())
+
+
+@pytest.mark.parametrize(
+    "fmt, shapes",
+    [
+        ("yyyy-MM-dd", ["9999-99-99"]),
+        ("dd.MM.yyyy HH:mm", ["99.99.9999 99:99"]),
+        ("yyyy-MM-dd'T'HH:mm:ss.SS'Z'", ["9999-99-99T99:99:99.9Z", "9999-99-99T99:99:99.99Z"]),
+        ("yyyyMMdd", []),
+        ("M/d/yyyy", []),
+        ("yyyy-MM", []),
+        ("yyyy-MM-dd mm", []),
+        ("yyyy-MM-dd 'at' HH", []),
+        ("d MMM yyyy", []),
+    ],
+)
+def test_layouts(fmt, shapes):
+    assert [x.shape for x in parsing.layouts(fmt)] == shapes
+
+
+def test_formats_that_share_a_shape_or_have_none_keep_their_order(column_of):
+    texts = ["03/04/2016", "13/04/2016", "3/4/2016", "04/13/2016", "2016.04.03 07:08", "20160403", "2016.04.03"]
+    formats = ("MM/dd/yyyy", "M/d/yyyy", "dd/MM/yyyy", "yyyy.MM.dd HH:mm", "yyyyMMdd")
+    plain = lambda c: F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
+    assert column_of(lambda c: parsing.parse_timestamp(c, formats), texts) == column_of(plain, texts)
+    twice = ("MM/dd/yyyy", "dd/MM/yyyy", "MM/dd/yyyy", "yyyy-MM-dd HH:mm")
+    dated = lambda c: F.coalesce(*[F.try_to_date(c, f) for f in twice])
+    more = [*texts, "2016-04-03 07:08", "2016-04-03 24:08"]
+    assert column_of(lambda c: parsing.parse_date(c, twice), more) == column_of(dated, more)
+
+
 def test_years_out_of_range_are_null(column_of):
     """Spark's own try_to_timestamp fails the whole job on these."""
     huge = ["+300000-01-01", "-290309-01-01 00:00:00", "01/01/+999999999", "+294247-01-01", "-290308/12/31"]
@@ -135,3 +170,13 @@ def test_holding_type(column_of):
 
 def test_is_listed(column_of):
     assert column_of(lambda c: codes.is_listed(c, codes.STATES), [" OPEN ", "y", None]) == [True, False, False]
+
+
+def test_codes_are_one_constant_lookup(spark, column_of):
+    """No chain of branches, whatever the number of synonyms; the first code of a word counts."""
+    df = spark.createDataFrame([(" LOAN ",)], "c string").select(codes.resolve_holding_type(F.col("c")).alias("code"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE" not in plan and "INSET" not in plan.upper() and df.first().code == 104800003
+    twice = {"a": ("x", "y"), "b": ("y", "z")}
+    assert column_of(lambda c: codes.resolve_codes(c, twice, "none"), ["x", "Y ", "z", "w", None]) == ["a", "a", "b", "none", "none"]
+    assert column_of(lambda c: codes.resolve_codes(c, {}, "none"), ["x"]) == ["none"]

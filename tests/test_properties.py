@@ -29,7 +29,7 @@ def date_like(seed, n):
     out = []
     for _ in range(n):
         s = rng.choice(shapes).format(
-            y=rng.choice(["2016", "0099", "12016", "+12016", "-2016", "+2016", "216", "+294246", "+294199", "+100000", "-290307", "-290299", "-99999"]) if rng.random() < 0.2 else "2016",
+            y=rng.choice(["2016", "0099", "12016", "+12016", "-2016", "+2016", "216", "+294246", "+294199", "+100000", "-290307", "-290299", "-99999", "+012016", "-000016", "+0000294246", "0000", "-0000", "+00000"]) if rng.random() < 0.2 else "2016",
             m=f"{rng.randint(0, 14):02d}", d=f"{rng.randint(0, 32):02d}", H=f"{rng.randint(0, 25):02d}",
             M=f"{rng.randint(0, 61):02d}", S=f"{rng.randint(0, 61):02d}", f=str(rng.randint(0, 12000)),
         )
@@ -54,7 +54,7 @@ def too_far(text):
 def changed_by_shape(spark, texts, guarded, plain):
     texts = [t for t in texts if not too_far(t)]
     df = frame(spark, texts).withColumns({"a": guarded(F.col("c")), "b": plain(F.col("c"))})
-    return df.filter(~F.col("a").eqNullSafe(F.col("b"))).collect()
+    return df.filter(~F.col("a").eqNullSafe(F.col("b"))).select("c", F.col("a").cast("string"), F.col("b").cast("string")).collect()
 
 
 def plain_timestamp(c):
