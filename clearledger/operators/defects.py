@@ -6,6 +6,7 @@ or another engine produces the same rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -82,3 +83,39 @@ def add_newer_copies(
     numbered = df.withColumn(_COPY, F.explode(F.sequence(F.lit(0), copies.cast("int"))))
     value = F.when(F.col(_COPY) == 0, F.col(column)).otherwise(newer(F.col(_COPY)))
     return numbered.withColumn(column, value).drop(_COPY)
+
+
+def poisson_thresholds(mean: float, steps: int = 1_000_000) -> list[int]:
+    """How many of ``steps`` equal parts go to at most 0, 1, 2, ... events of a Poisson
+    distribution: the inverse of its distribution function, cut where a part is less than one step."""
+    upto, chance, total = [], math.exp(-mean), 0.0
+    while round(total * steps) < steps and len(upto) < 64:
+        total += chance
+        upto.append(round(total * steps))
+        chance *= mean / len(upto)
+    return upto
+
+
+def poisson_count(key: Column, mean: float, salt: int = 0, steps: int = 1_000_000) -> Column:
+    """Number of events of a Poisson distribution, chosen by the hash of ``key``."""
+    share = bucket(key, steps, salt)
+    limits = [t for t in poisson_thresholds(mean, steps) if t < steps]
+    return reduce(lambda total, t: total + (share >= t).cast("int"), limits, F.lit(0))
+
+
+def add_copies_with_replacement(
+    df: DataFrame, key: Column, mean: float, column: str, newer: Callable[[Column, Column], Column], salt: int = 0
+) -> DataFrame:
+    """Repeat rows as if copies were drawn with replacement, ``mean`` a row on average.
+
+    Drawing a row of a large table over and over, each time among all, makes the number of copies
+    of a row a Poisson number, and copies are drawn as well: a copy has copies of its own, by the
+    same law. ``newer`` gets the numbers of the copy and of its copy (0: none) and returns the
+    value of ``column``; the row itself stays as it is. Rows multiply where they are.
+    """
+    first, second = f"{_COPY}1", f"{_COPY}2"
+    once = df.withColumn(first, F.explode(F.sequence(F.lit(0), poisson_count(key, mean, salt))))
+    again = F.when(F.col(first) > 0, poisson_count(key * 64 + F.col(first), mean, salt + 1)).otherwise(0)
+    twice = once.withColumn(second, F.explode(F.sequence(F.lit(0), again)))
+    value = F.when(F.col(first) == 0, F.col(column)).otherwise(newer(F.col(first), F.col(second)))
+    return twice.withColumn(column, value).drop(first, second)

@@ -21,8 +21,10 @@ from clearledger.functions.text import (
     trimmed,
 )
 from clearledger.operators.dedup import latest_per_key
+from clearledger.operators.rejects import Divided, divided, write_divided
 from clearledger.operators.reshape import conform, field, with_status_labels
 from clearledger.schemas import target_schema
+from clearledger.sources.keyed import KeyedTable
 from clearledger.sources.layers import Layout
 
 
@@ -187,6 +189,22 @@ def entity_spec(entity: str) -> Entity:
     return ENTITIES[entity]
 
 
+def staged(raw: DataFrame, entity: str) -> DataFrame:
+    """The raw columns that cleaning needs, and the parsed change time as ``modifiedOn``."""
+    spec = entity_spec(entity)
+    return raw.select(*map(field, spec.raw_columns), parse_timestamp(field(spec.modified)).alias("modifiedOn"))
+
+
+def finished(latest: DataFrame, entity: str) -> DataFrame:
+    """Staged rows, one per key, cleaned and conformed to the canonical schema."""
+    spec = entity_spec(entity)
+    mapped = latest.select("modifiedOn", *[column.alias(name) for name, column in _columns(spec.fields).items()])
+    labelled = with_status_labels(mapped)
+    if spec.labels:
+        labelled = labelled.withColumns(_columns(spec.labels))
+    return conform(labelled, target_schema(entity))
+
+
 def clean_entity(raw: DataFrame, entity: str, null_keys: str = "collapse") -> DataFrame:
     """Latest row per integration key, cleaned and conformed to the canonical schema.
 
@@ -195,18 +213,24 @@ def clean_entity(raw: DataFrame, entity: str, null_keys: str = "collapse") -> Da
     The change time is parsed once, before de-duplication, which orders by it; everything else
     is parsed afterwards, on the surviving rows only. The de-duplication is the one shuffle.
     """
-    spec = entity_spec(entity)
-    staged = raw.select(
-        *map(field, spec.raw_columns), parse_timestamp(field(spec.modified)).alias("modifiedOn")
-    )
-    latest = latest_per_key(staged, spec.key, "modifiedOn", null_keys=null_keys)
-    mapped = latest.select(
-        "modifiedOn", *[column.alias(name) for name, column in _columns(spec.fields).items()]
-    )
-    labelled = with_status_labels(mapped)
-    if spec.labels:
-        labelled = labelled.withColumns(_columns(spec.labels))
-    return conform(labelled, target_schema(entity))
+    rows = staged(raw, entity)
+    return finished(latest_per_key(rows, entity_spec(entity).key, "modifiedOn", null_keys=null_keys), entity)
+
+
+def merge_entity(spark: SparkSession, base: str, batch: DataFrame, entity: str, n_parts: int = 64) -> KeyedTable:
+    """Bring a batch of raw rows into the silver table that lies, with its state, below ``base``.
+
+    The state holds the latest staged row of each key, the silver table the clean one. Both are in
+    ``n_parts`` parts by the hash of the key, and only parts that a key of the batch falls into
+    are read and rewritten. Batches in any order give the rows that one run over all of them gives.
+    NULL keys collapse to one row.
+    """
+    key = entity_spec(entity).key
+    state = KeyedTable(f"{base}/state", (key,), n_parts)
+    silver = KeyedTable(f"{base}/silver", ("integrationKey",), n_parts)
+    parts = state.merge(spark, staged(batch, entity), lambda rows: latest_per_key(rows, key, "modifiedOn"))
+    silver.replace(spark, finished(state.read(spark, parts), entity), parts)
+    return silver
 
 
 def clean_all(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -240,6 +264,15 @@ def run_entity(
     )
 
 
+def run_divided(spark: SparkSession, raw: DataFrame, entity: str, folder: str, null_keys: str = "collapse") -> Divided:
+    """Clean a raw table and write rows that lack a required field apart from all others.
+
+    Both go out in one job over one scan, into two subfolders; rejected rows say which fields they
+    lack (``missing_fields``).
+    """
+    return write_divided(divided(clean_entity(raw, entity, null_keys), target_schema(entity)), folder)
+
+
 def run_all(spark: SparkSession, layout: Layout, null_keys: str = "collapse") -> dict[str, Written]:
     """Run every entity job. They share nothing, so all are submitted at once."""
     with ThreadPoolExecutor(len(ENTITIES)) as pool:

@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 
 from clearledger.functions.codes import is_listed
 from clearledger.operators.reshape import check_distinct_names, field
-from clearledger.plans.entities import DEFAULTED, entity_spec
+from clearledger.plans.entities import DEFAULTED, Written, entity_spec
 from clearledger.schemas import required_fields, target_schema
 from clearledger.sources.layers import LAYERS, Layout
 
@@ -206,6 +206,59 @@ def schema_compliance(df: DataFrame, entity: str, schema: StructType | None = No
     return _per_field(df, entity, rows)
 
 
+_PROFILE = (
+    "entity string, field string, is_expected boolean, is_present boolean, type_ok boolean, expected_type string, "
+    "actual_type string, n_nulls long, n_cast_fail long, n_rows long, is_required boolean"
+)
+
+
+def profile(clean: Mapping[str, DataFrame], schemas: Mapping[str, StructType] | None = None) -> DataFrame:
+    """What the reports on fields need, one row per table and field, from one aggregate per table:
+    ``schema_compliance`` and ``is_required``. ``reports_of`` makes the reports of it.
+
+    ``schemas`` has the target schema of tables that are not named after an entity.
+    """
+    schemas = schemas or {}
+
+    def of(entity: str, df: DataFrame) -> DataFrame:
+        schema = schemas.get(entity) or target_schema(entity)
+        needed = F.col("field").isin(*required_fields(schema)) if required_fields(schema) else F.lit(False)
+        return schema_compliance(df, entity, schema).withColumn("is_required", needed)
+
+    return _stack(of(entity, df) for entity, df in clean.items())
+
+
+def observed_profile(spark: SparkSession, written: Mapping[str, Written]) -> DataFrame:
+    """``profile`` of tables that ``run_entity`` wrote, from what was counted while they were
+    written: a few rows that the driver has already, without any further pass."""
+    rows = []
+    for entity, done in written.items():
+        schema = target_schema(entity)
+        actual = {f.name: f.dataType for f in done.table.schema}
+        for f in schema:
+            kind, nulls = f.dataType.simpleString(), done.n_rows - done.n_filled[f.name]
+            same = actual[f.name] == f.dataType
+            # The writer casts every field to its type, so nothing is left that a cast would lose.
+            rows.append(
+                (entity, f.name, True, True, same, kind, actual[f.name].simpleString(), nulls, 0, done.n_rows, f.name in required_fields(schema))
+            )
+    return spark.createDataFrame(rows, _PROFILE)
+
+
+def reports_of(found: DataFrame) -> dict[str, DataFrame]:
+    """The reports on fields, by name, of one ``profile``, which is a row per field: write it to a
+    table to make several reports of one pass over the data."""
+    present = found.filter("is_present")
+    filled = (F.col("n_rows") - F.col("n_nulls")) / F.col("n_rows") * 100
+    return {
+        "required_violations": present.filter("is_required and n_nulls > 0").select("entity", "field", "n_nulls"),
+        "completeness": present.select(
+            "entity", "field", "n_rows", "n_nulls", F.when(F.col("n_rows") > 0, filled).otherwise(F.lit(0.0)).alias("pct")
+        ),
+        "schema_compliance": found.drop("is_required"),
+    }
+
+
 def defaulted_codes(raw: Mapping[str, DataFrame]) -> DataFrame:
     """Rows whose text matched no synonym and so got a default code:
     (entity, field, n_rows, n_defaulted)."""
@@ -223,14 +276,19 @@ def defaulted_codes(raw: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def stored_reports(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
-    """Every report over the stored bronze and silver tables, by name, lazily."""
+    """Every report over the stored bronze and silver tables, by name, lazily.
+
+    Reports that only count rows and filled values read files through their footers where the
+    format has such counts (``Layout.read_counts``): no column data is read for those.
+    """
     raw, clean = ({e: layout.read(spark, layer, e) for e in layout.tables} for layer in LAYERS)
+    raw_counts, counts = ({e: layout.read_counts(spark, layer, e) for e in layout.tables} for layer in LAYERS)
     paths = {(layer, e): layout.path(layer, e) for layer in LAYERS for e in layout.tables}
     return {
-        "layer_summary": layer_summary(dict(zip(LAYERS, (raw, clean))), paths),
-        "layer_compare": layer_compare(raw, clean),
-        "required_violations": required_violations(clean),
-        "completeness": completeness(clean),
+        "layer_summary": layer_summary(dict(zip(LAYERS, (raw_counts, counts))), paths),
+        "layer_compare": layer_compare(raw_counts, counts),
+        "required_violations": required_violations(counts),
+        "completeness": completeness(counts),
         "key_counts": key_counts(raw),
         "schema_compliance": _stack(schema_compliance(df, entity) for entity, df in clean.items()),
         "defaulted_codes": defaulted_codes(raw),

@@ -56,6 +56,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return layout.read(spark, "", name)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scanned table in at least as many partitions as there are cores.
+
+    A table of few files and row groups is a few scan tasks; whatever follows the scan would run in
+    them alone. Larger tables, which have more splits than cores, stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def tenths(key: Column, n: int, salt: int) -> Column:
     """Text such as 12.7, below ``n`` tenths; unreadable in 1 of 100 rows."""
     value = bucket(key, n, salt)
@@ -133,7 +143,7 @@ def _raw(source: DataFrame, number: int, key: Column, id_value: Column, modified
 
 
 def bronze_bank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    suppliers, nations = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
+    suppliers, nations = spread(table(spark, sf_dir, "supplier")), table(spark, sf_dir, "nation")
     source = suppliers.join(nations, suppliers.s_nationkey == nations.n_nationkey, "left")
     columns = {
         "src_bank_id": plain("s_suppkey"), "bank_name": text("s_name"), "bank_code": text("s_nationkey"),
@@ -152,7 +162,7 @@ def bronze_branch(spark: SparkSession, sf_dir: str) -> DataFrame:
         "country": code(COUNTRY_TEXTS), "phone_number": text("p_partkey"), "is_active": code(STATE_TEXTS),
         "created_at": time(),
     }
-    source = table(spark, sf_dir, "part")
+    source = spread(table(spark, sf_dir, "part"))
     return _raw(source, 2, F.col("p_partkey"), F.col("p_partkey"), "updated_at", "integration_key", columns)
 
 
@@ -164,13 +174,13 @@ def bronze_contact(spark: SparkSession, sf_dir: str) -> DataFrame:
         "primary_branch_id": plain("c_nationkey"), "managed_by_system": code(BOOLEAN_TEXTS),
         "is_active": code(STATE_TEXTS), "created_timestamp": time(),
     }
-    source = table(spark, sf_dir, "customer")
+    source = spread(table(spark, sf_dir, "customer"))
     return _raw(source, 3, F.col("c_custkey"), F.col("c_custkey"), "last_modified", "src_integration_key", columns)
 
 
 def bronze_account(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The branch of an account is its customer's, found by a join."""
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders"))
     homes = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     source = orders.join(homes, orders.o_custkey == homes.c_custkey, "left")
     columns = {
@@ -184,7 +194,7 @@ def bronze_account(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_holding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items repeat their (order, line) key by themselves; the contact comes from the order."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(table(spark, sf_dir, "lineitem"))
     owners = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     source = lines.join(owners, lines.l_orderkey == owners.o_orderkey, "left")
     reference = F.concat("l_orderkey", F.lit("-"), "l_linenumber")

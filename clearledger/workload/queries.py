@@ -14,12 +14,12 @@ from pyspark.sql.types import TimestampType
 
 from clearledger import session
 from clearledger.functions import codes, parsing, text
-from clearledger.operators import defects, reshape
+from clearledger.operators import defects, rejects, reshape
 from clearledger.operators.dedup import latest_per_key
 from clearledger.plans import quality
-from clearledger.plans.entities import clean_all, clean_entity, run_all
+from clearledger.plans.entities import clean_all, clean_entity, merge_entity, run_all
 from clearledger.schemas import target_schema
-from clearledger.sources.layers import Layout, scratch_folder
+from clearledger.sources.layers import BucketedLayout, Layout, VersionedLayout, scratch_folder
 from clearledger.workload import bronze
 from clearledger.workload.bronze import bronze_tables, table
 
@@ -313,6 +313,30 @@ def schema_compliance(spark, sf_dir):
     return reduce(DataFrame.unionByName, reports)
 
 
+@query
+def field_profile(spark, sf_dir):
+    """All that the reports on fields need, of the clean tables, with each table cleaned once."""
+    return quality.profile(clean_all(bronze_tables(spark, sf_dir)))
+
+
+def divided_account(spark, sf_dir) -> rejects.Divided:
+    """The untidy account table, conformed, its rows without a required field apart."""
+    schema = target_schema("account")
+    rows = reshape.conform(untidy_account(spark, sf_dir), schema)
+    return rejects.write_divided(rejects.divided(rows, schema), scratch_folder(spark, "divided"))
+
+
+@query
+def accepted_rows(spark, sf_dir):
+    return divided_account(spark, sf_dir).accepted
+
+
+@query
+def rejected_rows(spark, sf_dir):
+    found = divided_account(spark, sf_dir).rejected
+    return found.withColumn("missing_fields", F.array_join("missing_fields", ","))
+
+
 @query
 def defaulted_codes(spark, sf_dir):
     return quality.defaulted_codes(bronze_tables(spark, sf_dir))
@@ -351,6 +375,33 @@ def contact_silver_keep_null_keys(spark, sf_dir):
     return clean_entity(bronze.bronze_contact(spark, sf_dir), "contact", null_keys="keep")
 
 
+@query
+def contact_silver_bucketed(spark, sf_dir):
+    """Bronze contacts stored in buckets by their key; cleaning them needs no shuffle."""
+    layout = BucketedLayout(scratch_folder(spark, "bucketed"), buckets=8)
+    layout.write(bronze.bronze_contact(spark, sf_dir), "bronze", "contact")
+    return clean_entity(layout.read(spark, "bronze", "contact"), "contact")
+
+
+@query
+def contact_silver_incremental(spark, sf_dir):
+    """Bronze contacts in two batches, each merged into the silver table."""
+    raw = bronze.bronze_contact(spark, sf_dir)
+    base = scratch_folder(spark, "incremental")
+    first = F.coalesce(F.pmod(F.xxhash64("last_modified", "customer_id"), F.lit(3)) > 0, F.lit(True))
+    merge_entity(spark, base, raw.filter(first), "contact", n_parts=16)
+    return merge_entity(spark, base, raw.filter(~first), "contact", n_parts=16).read(spark)
+
+
+@query
+def account_silver_overwritten(spark, sf_dir):
+    """The silver account table over an older one, through versions that are switched."""
+    layout = VersionedLayout(scratch_folder(spark, "versions"))
+    layout.write(table(spark, sf_dir, "orders"), "silver", "account")
+    layout.write(clean_entity(bronze.bronze_account(spark, sf_dir), "account"), "silver", "account")
+    return layout.read(spark, "silver", "account")
+
+
 @query
 def all_silver_counts(spark, sf_dir):
     counts = quality.key_counts(bronze_tables(spark, sf_dir))
@@ -383,6 +434,16 @@ def run_all_stored(spark, sf_dir):
     return quality.stored_reports(spark, store(spark, sf_dir))["layer_compare"]
 
 
+@query
+def run_all_profile(spark, sf_dir):
+    """Store the bronze tables, run every entity job, and profile the silver tables from what the
+    jobs counted while they wrote."""
+    layout = Layout(scratch_folder(spark, "profile"))
+    for entity, df in bronze_tables(spark, sf_dir).items():
+        layout.write(df, "bronze", entity)
+    return quality.observed_profile(spark, run_all(spark, layout))
+
+
 @query
 def stored_layer_summary(spark, sf_dir):
     return quality.stored_reports(spark, stored(spark, sf_dir))["layer_summary"].drop("path")
@@ -476,3 +537,12 @@ def inject_duplicates(spark, sf_dir):
         "o_orderdate",
         lambda copy: F.col("o_orderdate") + F.make_dt_interval(copy * 30),
     )
+
+
+@query
+def inject_copies_with_replacement(spark, sf_dir):
+    """Later copies of orders, drawn with replacement at an average of one for ten rows."""
+    return defects.add_copies_with_replacement(
+        table(spark, sf_dir, "orders"), F.col("o_orderkey"), 0.1, "o_orderdate",
+        lambda copy, again: F.col("o_orderdate") + F.make_dt_interval(copy * 30 + again), salt=252,
+    )

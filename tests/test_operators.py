@@ -145,3 +145,23 @@ def test_copies(spark):
     assert got.count() == 210
     assert rows_of(got.filter("id = 20")) == [(20, 0), (20, 10)]
     assert latest_per_key(got, "id", "t").filter("t = 10").count() == 10
+
+
+def test_poisson_counts(spark):
+    """Counts by inverse distribution are spread as the distribution says."""
+    limits = defects.poisson_thresholds(0.5)
+    assert limits[0] == round(1e6 * 0.60653066) and limits == sorted(limits) and limits[-1] == 1_000_000
+    assert defects.poisson_thresholds(0.0)[0] == 1_000_000
+    n = 200_000
+    counts = spark.range(n).select(defects.poisson_count(F.col("id"), 0.5, 3).alias("c")).groupBy("c").count().collect()
+    shares = {r.c: r["count"] / n for r in counts}
+    assert abs(sum(c * s for c, s in shares.items()) - 0.5) < 0.01 and abs(shares[0] - 0.6065) < 0.01 and abs(shares[2] - 0.0758) < 0.01
+
+
+def test_copies_with_replacement_include_copies_of_copies(spark):
+    rows = spark.range(50_000).withColumn("t", F.lit(0))
+    made = defects.add_copies_with_replacement(rows, F.col("id"), 0.3, "t", lambda a, b: a * 100 + b, salt=4)
+    assert made.filter("t = 0").count() == 50_000
+    first, second = made.filter("t > 0 and t % 100 = 0").count(), made.filter("t % 100 > 0").count()
+    assert abs(first / 50_000 - 0.3) < 0.02 and abs(second / first - 0.3) < 0.05
+    assert made.groupBy("id", "t").count().filter("count > 1").isEmpty()

@@ -67,3 +67,23 @@ def test_reports_are_one_job_per_table(spark):
     df = contact(spark, ROWS)
     plan = quality.completeness({"contact": df})._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate") == 1
+
+
+def test_one_profile_gives_all_reports_on_fields(spark, sf_dir):
+    """Each table is cleaned once: one exchange on its key and one for the sums."""
+    from clearledger.plans.entities import ENTITIES, clean_all
+    from clearledger.workload.bronze import bronze_tables
+
+    clean = clean_all(bronze_tables(spark, sf_dir))
+    found = quality.profile(clean)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [row_number()") == plan.count("Aggregate [") == len(ENTITIES)
+    stored = spark.createDataFrame(found.collect(), found.schema)
+    reports = quality.reports_of(stored)
+    rows = lambda df: sorted(map(str, df.collect()))
+    one = {"account": clean["account"]}
+    of_account = {k: v.filter("entity = 'account'") for k, v in reports.items()}
+    assert rows(of_account["completeness"]) == rows(quality.completeness(one))
+    assert rows(of_account["required_violations"]) == rows(quality.required_violations(one))
+    wanted = quality.schema_compliance(clean["account"], "account")
+    assert rows(of_account["schema_compliance"].select(*wanted.columns)) == rows(wanted)
