@@ -39,16 +39,16 @@ def _hex(value: Column, digits: int) -> Column:
 
 
 def _medians(spark: SparkSession, rows: DataFrame, nodes: list[dict]) -> list[dict]:
-    """Cut of each node, a string: the keys below it are those up to the weighted median, which is
-    the least key with half of the node's bytes up to it. If that is the node's greatest key, the
-    cut is before it; so both sides have rows.
+    """Cut of each node, a string: the keys below it are those up to the weighted quantile, which is
+    the least key with ``part`` of the node's bytes up to it (half of them: the median). If that is
+    the node's greatest key, the cut is before it; so both sides have rows.
 
     ``rows`` has node, key, size; no two rows have the same key. Each round sums the bytes by the
     next digits of the keys that still begin like the median, map-side first, and keeps the digits
     that hold the half, until one row has them; so a round moves 4096 sums a node and task at
     most, and one row a node reaches the driver.
     """
-    state = [{"node": n["node"], "total": n["bytes"], "half": (n["bytes"] + 1) // 2, "prefix": "", "below": 0} for n in nodes]
+    state = [{"node": n["node"], "total": n["bytes"], "half": n["part"], "prefix": "", "below": 0} for n in nodes]
     cuts = []
     for done in range(0, _DIMENSION + _CRC + _TIE + _ROW, _DIGITS):
         if not state:
@@ -86,10 +86,12 @@ def shard(
 ) -> DataFrame:
     """``shard`` and ``slot`` of every row, with its ``size``, ``text_crc32`` and ``key``.
 
-    A node is split at the weighted median along its widest dimension (its range against the
-    range of the whole table) until its leaves are within 0.75 to 1.5 times ``target_bytes``, or
-    hold one row; ``n_shards`` (a power of two) sets the target to the total divided by it. Rows
-    that tie on the dimension are ordered by the crc32 of their text, so that equal texts stay
+    The whole table is to become ``n_shards`` leaves, or as many as reach ``target_bytes``. A node
+    of more than one is split at the weighted median (at the like quantile, where its number of
+    leaves is odd) along its widest dimension, which is that of the greatest range against the
+    range of the whole table. Its two sides share its leaves by their bytes, each at least one and at most one a row, and are
+    split on until they are one leaf each. So there are exactly as many leaves as asked for, or one a row if
+    there are fewer rows; a row larger than a leaf's share is a leaf with few others or none. Rows that tie on the dimension are ordered by the crc32 of their text, so that equal texts stay
     together, then by a hash of the id, then by a number of the row; so a value or an equal row that
     holds a third of all rows is split like any other. ``dimensions`` are columns of non-negative numbers below 2**32.
 
@@ -114,33 +116,42 @@ def shard(
     rows = rows.withColumn("tie", F.shiftrightunsigned(F.xxhash64("id"), 24)).withColumn("row", F.monotonically_increasing_id())
     rows = tables.put(rows, "rows")
     spread = [F.min(n).alias(f"lo_{n}") for n in names] + [F.max(n).alias(f"hi_{n}") for n in names]
-    whole, shards, key = None, [], None
+    whole, leaves, last = None, {1: 1}, 1
+    path, sides = {1: ""}, []
     while True:
-        found = rows.filter(F.col("node") > 0).groupBy("node").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"), *spread).collect()
+        found = {r.node: r for r in rows.groupBy("node").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"), *spread).collect()}
+        if not found:
+            break
         if whole is None:
-            if not found:
-                break
-            whole = found[0]
-            if target_bytes is None:
-                target_bytes = max(1, -(-whole.bytes // (n_shards or 1)))
-        wide = [r for r in found if r.n > 1 and 2 * r.bytes >= 3 * target_bytes]
-        shards = [r.node for r in found]
+            whole = found[1]
+            leaves[1] = n_shards or max(1, round(whole.bytes / target_bytes))
+            if leaves[1] > MAX_LEAVES:
+                raise ValueError(f"more than {MAX_LEAVES} shards; raise target_bytes")
+        for parent, left, right in sides:
+            leaves[left], leaves[right] = _shares(leaves.pop(parent), found[left], found[right])
+        wide = [r for r in found.values() if r.n > 1 and leaves[r.node] > 1]
         if not wide:
             break
-        if len(found) + len(wide) > MAX_LEAVES:
-            raise ValueError(f"more than {MAX_LEAVES} shards; raise target_bytes")
         part = lambda r, n: (r[f"hi_{n}"] - r[f"lo_{n}"]) / max(1, whole[f"hi_{n}"] - whole[f"lo_{n}"])
-        nodes = [{"node": r.node, "bytes": r.bytes, "dim": max(range(len(names)), key=lambda i: (part(r, names[i]), -i))} for r in wide]
-        chosen_dim = F.broadcast(_table(spark, nodes, "node: long, dim: int"))
+        nodes, sides = [], []
+        for r in wide:
+            k = leaves[r.node]
+            dim = max(range(len(names)), key=lambda i: (part(r, names[i]), -i))
+            nodes.append({"node": r.node, "bytes": r.bytes, "part": -(-r.bytes * (k // 2) // k), "dim": dim, "left": last + 1, "right": last + 2})
+            sides.append((r.node, last + 1, last + 2))
+            path[last + 1], path[last + 2] = path[r.node] + "0", path[r.node] + "1"
+            last += 2
+        chosen_dim = F.broadcast(_table(spark, nodes, "node: long, dim: int, left: long, right: long"))
         along = F.element_at(F.array(*names), F.col("dim") + 1)
         keyed = rows.join(chosen_dim, "node", "left").withColumn("key", F.concat(_key(along), _hex(F.col("row"), _ROW)))
         medians = _medians(spark, keyed.filter("dim is not null").select("node", "key", "size"), nodes)
         cut = F.broadcast(_table(spark, medians, "node: long, cut: string"))
-        side = F.when(F.col("cut").isNull(), F.col("node")).otherwise(2 * F.col("node") + F.when(F.col("key") < F.col("cut"), 0).otherwise(1))
-        split = keyed.join(cut, "node", "left").withColumn("node", side).drop("dim", "key", "cut")
+        side = F.when(F.col("cut").isNull(), F.col("node")).when(F.col("key") < F.col("cut"), F.col("left")).otherwise(F.col("right"))
+        split = keyed.join(cut, "node", "left").withColumn("node", side).drop("dim", "key", "cut", "left", "right")
         before, rows = rows, tables.put(split.select(*rows.columns), "split")
         tables.drop(before)
-    numbers = _table(spark, [{"node": n, "shard": i} for i, n in enumerate(sorted(shards, key=_path))] or [{"node": 0, "shard": 0}], "node: long, shard: int")
+    shards = sorted(found, key=path.__getitem__)
+    numbers = _table(spark, [{"node": n, "shard": i} for i, n in enumerate(shards)] or [{"node": 0, "shard": 0}], "node: long, shard: int")
     placed = rows.join(F.broadcast(numbers), "node").select("id", "size", F.col("crc").alias("text_crc32"), "shard", "row", _key(F.col(names[0])).alias("key"))
     return _slots(tables, placed).withColumnRenamed("id", id_col)
 
@@ -149,8 +160,11 @@ def _key(along: Column) -> Column:
     return F.concat(_hex(along, _DIMENSION), _hex(F.col("crc"), _CRC), _hex(F.col("tie"), _TIE))
 
 
-def _path(node: int) -> str:
-    return bin(node)[3:]
+def _shares(leaves: int, left, right) -> tuple[int, int]:
+    """How many of a node's leaves its two sides get: by bytes, at least one and at most one a row."""
+    own = round(leaves * left.bytes / (left.bytes + right.bytes))
+    own = max(1, leaves - right.n, min(own, leaves - 1, left.n))
+    return own, max(1, leaves - own)
 
 
 def _slots(tables: Tables, placed: DataFrame) -> DataFrame:

@@ -1,8 +1,10 @@
+import random
 import re
 import zlib
 from collections import defaultdict
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from clearledger.llm import queries, sharding
@@ -64,6 +66,45 @@ def test_a_last_row_with_most_bytes_is_split_off(spark, docs):
     assert sorted(sizes.values()) == [2, 5001]
 
 
+def brute(rows, k):
+    """Shards (as lists of ids) of the tree over rows (id, text, lang, source) with distinct ids."""
+    crc = lambda t: zlib.crc32(t.encode())
+    nodes = [{"id": i, "size": len(t.encode()) + 1, "crc": crc(t), "tie": xxhash.xxh64_intdigest(i.to_bytes(8, "little"), 42) >> 24, "dims": (len(t), crc(lang), crc(src))} for i, t, lang, src in rows]
+    whole = [max(1, max(r["dims"][d] for r in nodes) - min(r["dims"][d] for r in nodes)) for d in range(3)]
+
+    def split(node, k):
+        if k == 1 or len(node) == 1:
+            return [sorted(r["id"] for r in node)]
+        reach = [(max(r["dims"][d] for r in node) - min(r["dims"][d] for r in node)) / whole[d] for d in range(3)]
+        d = reach.index(max(reach))
+        node = sorted(node, key=lambda r: (r["dims"][d], r["crc"], r["tie"]))
+        total, upto, at = sum(r["size"] for r in node), 0, 0
+        while upto * k < total * (k // 2):
+            upto += node[at]["size"]
+            at += 1
+        left, right = node[: min(at, len(node) - 1)], node[min(at, len(node) - 1) :]
+        own = round(k * sum(r["size"] for r in left) / total)
+        own = max(1, k - len(right), min(own, k - 1, len(left)))
+        return split(left, own) + split(right, max(1, k - own))
+
+    return split(nodes, k)
+
+
+@pytest.mark.parametrize("seed, n, k, tail", [(1, 20, 8, 1.1), (2, 20, 8, 0.6), (3, 60, 8, 0.8), (4, 200, 5, 1.5), (5, 6, 8, 1.0), (6, 500, 16, 0.7)])
+def test_tree_equals_brute_force_and_never_has_more_shards(spark, seed, n, k, tail):
+    """Sizes with heavy tails, down to one row with most of the bytes."""
+    pick = random.Random(seed)
+    rows = [(i, f"{i}" + "x" * min(20_000, int(20 * pick.paretovariate(tail))), pick.choice(["en", "de", "fr"]), pick.choice(["hot", "hot", "s1", "s2"])) for i in range(n)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+    placed = shard(spark, df, n_shards=k).collect()
+    check(placed, [(i, t) for i, t, *_ in rows])
+    found = defaultdict(list)
+    for r in placed:
+        found[r.shard].append(r.doc_id)
+    assert [sorted(found[j]) for j in range(len(found))] == brute(rows, k)
+    assert max(found) < k and len(found) == min(k, n)
+
+
 def test_too_many_leaves_are_refused(spark, docs, monkeypatch):
     monkeypatch.setattr(sharding, "MAX_LEAVES", 4)
     with pytest.raises(ValueError, match="raise target_bytes"):
