@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -11,15 +10,13 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clearledger.sources.layers import drop_folder, scratch_folder
 
-def work_folder(spark: SparkSession, label: str) -> str:
-    """Fresh folder for intermediate tables, on storage that all executors share.
 
-    Below ``spark.checkpoint.dir``; where that is unset, below the warehouse.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    base = shared or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work"
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+def work_folder(spark: SparkSession, label: str) -> str:
+    """Fresh folder for intermediate tables, on storage that all executors share; a warehouse on
+    local disks is refused on a cluster."""
+    return scratch_folder(spark, label)
 
 
 class Tables:
@@ -37,14 +34,21 @@ class Tables:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, df: DataFrame) -> None:
-        """Delete a table of this run that nothing reads any more."""
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        for parent in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            if f"/{self.base.rsplit('/', 1)[1]}/" in f"{parent}/":
-                path = jvm.org.apache.hadoop.fs.Path(parent)
-                path.getFileSystem(conf).delete(path, True)
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete tables of this run that nothing reads any more."""
+        for df in tables:
+            for parent in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+                if f"/{self.base.rsplit('/', 1)[1]}/" in f"{parent}/":
+                    drop_folder(self.spark, parent)
+
+    def release(self) -> None:
+        """Let Spark delete the shuffle files of queries that are done: it does so once the driver
+        has collected their plans, which it otherwise does when its memory is full, not the disks."""
+        self.spark.sparkContext._jvm.System.gc()
+
+    def clear(self) -> None:
+        """Delete the run's folder, when its result has been written elsewhere."""
+        drop_folder(self.spark, self.base)
 
 
 class Memo(dict):
@@ -96,6 +100,8 @@ def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 8 << 20) -> Ite
         start = stop
 
 
-def text_slices(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
+def text_slices(
+    batches: Iterable[pa.RecordBatch], column: str = "text", most_bytes: int = 8 << 20
+) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yield from slices(batch, column)
+        yield from slices(batch, column, most_bytes)

@@ -22,6 +22,7 @@ BANDS, BAND_ROWS = 12, 3
 #: minima of bins of one hash; so two similar lines always have one of both in common.
 FEW = 128
 _SIGNATURE = BANDS * BAND_ROWS
+_PART = 1 << 16
 _SEEDS = mix(np.arange(1, _SIGNATURE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _ODD = np.arange(1, 2 * BAND_ROWS, 2, dtype=np.uint64)
 
@@ -46,8 +47,15 @@ def _rolling(codes: np.ndarray) -> np.ndarray:
 
 def char_shingles(line: str) -> np.ndarray:
     """Sorted distinct hashes of a normalised line's runs of eight characters."""
-    codes = np.frombuffer(line.encode("utf-32-le"), dtype="<u4")
-    return distinct(_rolling(codes)) if len(codes) >= WIDTH else np.zeros(0, dtype=np.uint64)
+    return many_char_shingles([line])[0]
+
+
+def many_char_shingles(lines: list[str]) -> list[np.ndarray]:
+    """``char_shingles`` of each line, hashed all at once."""
+    codes = np.frombuffer(("\n".join(lines) + "\n").encode("utf-32-le"), dtype="<u4")
+    hashes = _rolling(codes) if len(codes) >= WIDTH else np.zeros(0, dtype=np.uint64)
+    ends = np.cumsum([len(x) + 1 for x in lines])
+    return [distinct(hashes[end - 1 - len(x) : max(end - 1 - len(x), end - WIDTH)]) for x, end in zip(lines, ends)]
 
 
 def _keys(signature: np.ndarray, kind: int) -> np.ndarray:
@@ -57,7 +65,21 @@ def _keys(signature: np.ndarray, kind: int) -> np.ndarray:
 
 
 def signatures(lines: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Band keys of normalised lines: (numbers of lines, sizes of their sets, keys by line)."""
+    """Band keys of normalised lines: (numbers of lines, sizes of their sets, keys by line).
+
+    Lines go in parts of about ``_PART`` characters, which stay in the cache and hold fewer lines
+    than their numbers have room for (2**20), however long the text is.
+    """
+    start, chars = 0, 0
+    for end, line in enumerate(lines, 1):
+        chars += len(line) + 1
+        if chars >= _PART or end == len(lines):
+            for number, sizes, keys in _signatures(lines[start:end]):
+                yield number + start, sizes, keys
+            start, chars = end, 0
+
+
+def _signatures(lines: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     lengths = np.array([len(x) + 1 for x in lines])
     codes = np.frombuffer(("\n".join(lines) + "\n").encode("utf-32-le"), dtype="<u4")
     if len(codes) < WIDTH + 1:
@@ -134,7 +156,7 @@ def _occurrences(source: DataFrame, least: int) -> DataFrame:
 
 
 def _band_keys(source: DataFrame, least: int) -> DataFrame:
-    """(key, id, n) of the lines, each once a task. Lines without a shingle have none."""
+    """(id, n, keys) of the lines, each once a task. Lines without a shingle have none."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -144,10 +166,10 @@ def _band_keys(source: DataFrame, least: int) -> DataFrame:
                 seen.update(fresh)
                 ids = np.array(list(fresh), dtype=np.int64)
                 for number, sizes, keys in signatures(list(fresh.values())) if fresh else ():
-                    columns = [keys.reshape(-1).view(np.int64), np.repeat(ids[number], BANDS), np.repeat(sizes, BANDS).astype(np.int64)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "id", "n"])
+                    lists = pa.ListArray.from_arrays(np.arange(len(number) + 1, dtype=np.int32) * BANDS, keys.reshape(-1).view(np.int64))
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[number]), pa.array(sizes.astype(np.int64)), lists], ["id", "n", "keys"])
 
-    return source.mapInArrow(run, "key long, id long, n long")
+    return source.mapInArrow(run, "id long, n long, keys array<long>")
 
 
 def fuzzy_lines(
@@ -182,8 +204,13 @@ def fuzzy_lines(
         F.col(f"`{id_col}`").cast("long").alias("id"), row.cast("long").alias("row"), F.col(f"`{text_col}`").cast("string").alias("text")
     )
     places = tables.put(_occurrences(source, least_chars), "places")
-    sets = linking.Sets(source.select("text"), partial(_line_texts, least=least_chars), char_shingles, once=True)
-    found = linking.components_of(tables, sets, tables.put(_band_keys(source, least_chars), "bands"), F.lit(True))
+    sets = linking.Sets(source.select("text"), partial(_line_texts, least=least_chars), many_char_shingles)
+    bands = tables.put(_band_keys(source, least_chars), "bands")
+    lists = linking.shared_keys(tables, bands.select(F.explode("keys").alias("key"), "id", "n"))
+    tables.drop(bands)
+    tables.release()
+    pairs = linking.pairs_in_lists(lists.filter(F.col("size") <= linking.SHORT_LIST)).drop("shared")
+    found = linking.components_of(tables, sets, pairs, lists.filter(F.col("size") > linking.SHORT_LIST))
     component = F.coalesce("component", "line_id")
     joined = places.join(found.withColumnRenamed("id", "line_id"), "line_id", "left").select("id", "row", "line_no", component.alias("component"))
     joined = tables.put(joined, "joined")

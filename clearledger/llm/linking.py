@@ -24,17 +24,17 @@ BLOCK = 128
 GROUP_ELEMENTS = 300_000
 _BITS = 1 << 26
 _BUCKETS = 1 << 20
+_COLUMNS = 8192
 
 
 @dataclass(frozen=True)
 class Sets:
-    """``texts`` turns rows of ``source`` into (id, text); ``elements`` makes the sorted distinct
-    64-bit hashes of a text's set. ``once``: an id has one text wherever it occurs."""
+    """``texts`` turns rows of ``source`` into (id, text), one text for each id however often it occurs;
+    ``elements`` makes the sorted distinct 64-bit hashes of each text's set."""
 
     source: DataFrame
     texts: Callable[[pa.RecordBatch], Iterator[tuple[int, str]]]
-    elements: Callable[[str], np.ndarray]
-    once: bool = False
+    elements: Callable[[list[str]], list[np.ndarray]]
 
 
 def shared_keys(tables: Tables, keys: DataFrame) -> DataFrame:
@@ -44,9 +44,16 @@ def shared_keys(tables: Tables, keys: DataFrame) -> DataFrame:
     are shuffled again.
     """
     several = keys.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo != hi").select("key")
-    kept = tables.put(keys.join(several, "key").select("key", "id", "n").distinct(), "keys")
-    sizes = kept.groupBy("key").agg(F.count("*").alias("size"))
-    return tables.put(kept.join(sizes, "key"), "lists")
+    matched = keys.join(several.hint("shuffle_hash"), "key").select("key", "id", "n").distinct()
+    return with_sizes(tables, tables.put(matched, "keys"))
+
+
+def with_sizes(tables: Tables, kept: DataFrame) -> DataFrame:
+    """Lists with ``size``, the number of their members; ``kept`` is dropped."""
+    sizes = kept.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
+    lists = tables.put(kept.join(sizes, "key"), "lists")
+    tables.drop(kept)
+    return lists
 
 
 def pairs_in_lists(lists: DataFrame) -> DataFrame:
@@ -63,8 +70,7 @@ def needed_texts(tables: Tables, sets: Sets, ids: DataFrame) -> DataFrame:
     """(id, text) of ``ids``, read from the source in one pass.
 
     A bit map of fixed size, made of the ids in tasks, goes to all tasks and stops most other
-    texts before the shuffle; the join then decides. If an id has several texts, the greatest is
-    taken.
+    texts before the shuffle; the join then decides.
     """
     bit = F.pmod(F.xxhash64("id"), F.lit(_BITS))
     words = ids.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(
@@ -74,7 +80,7 @@ def needed_texts(tables: Tables, sets: Sets, ids: DataFrame) -> DataFrame:
     bitmap = np.zeros(_BITS >> 6, dtype=np.uint64)
     bitmap[table.column("word").to_numpy().astype(np.int64)] = table.column("bits").to_numpy().view(np.uint64)
     shared = tables.spark.sparkContext.broadcast(bitmap)
-    make, once = sets.texts, sets.once
+    make = sets.texts
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -83,17 +89,19 @@ def needed_texts(tables: Tables, sets: Sets, ids: DataFrame) -> DataFrame:
         for part in text_slices(batches):
             ids, texts = [], []
             for i, text in make(part):
-                if once and i in seen:
+                if i in seen:
                     continue
                 at = xxhash.xxh64_intdigest(int(i).to_bytes(8, "little", signed=True), 42) % _BITS
                 if int(bits[at >> 6]) >> (at & 63) & 1:
                     ids.append(i)
                     texts.append(text)
-                    seen.add(i)
+                    seen.add(i)  # ids of texts that are needed only
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string())], ["id", "text"])
 
     found = sets.source.mapInArrow(run, "id long, text string").join(ids, "id")
-    return tables.put(found.groupBy("id").agg(F.max("text").alias("text")), "texts")
+    texts = tables.put(found.groupBy("id").agg(F.max("text").alias("text")), "texts")
+    shared.destroy()
+    return texts
 
 
 def _shared(left: np.ndarray, right: np.ndarray) -> int:
@@ -112,30 +120,62 @@ def compare(tables: Tables, sets: Sets, texts: DataFrame, pairs: DataFrame) -> D
     load = pairs.groupBy("a").agg(F.ceil((F.sum("n_b") + F.max("n_a")) / GROUP_ELEMENTS).alias("salts"))
     dealt = pairs.join(load, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("salts")).alias("salt"))
     dealt = tables.put(dealt, "dealt")
-    partners = dealt.join(texts, dealt.b == texts.id).select("a", "salt", F.col("b").alias("id"), "text")
-    owners = dealt.select("a", "salt").distinct().join(texts, F.col("a") == texts.id).select("a", "salt", "id", "text")
+    partners = dealt.join(texts, dealt.b == texts.id).select("a", "salt", F.lit(1).alias("side"), "id", "text")
+    owners = dealt.select("a", "salt").distinct().join(texts, F.col("a") == texts.id).select("a", "salt", F.lit(0).alias("side"), "id", "text")
+    order = ["a", "salt", "side"]
+    rows = owners.union(partners).repartition("a", "salt").sortWithinPartitions(*order)
     elements = sets.elements
 
-    def run(group: pa.Table) -> pa.Table:
-        a = group.column("a")[0].as_py()
-        made = {i: elements(t) for i, t in zip(group.column("id").to_pylist(), group.column("text").to_pylist())}
-        own = made.pop(a, None)
-        rows = [] if own is None else [(a, i, k := _shared(own, x), len(own) + len(x) - k) for i, x in made.items()]
-        return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)] or [pa.array([], pa.int64())] * 4, ["a", "b", "both", "any"])
-
-    grouped = partners.union(owners).groupBy("a", "salt").applyInArrow(run, "a long, b long, both long, any long")
-    return tables.put(grouped, "compared")
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, own = None, np.zeros(0, dtype=np.uint64)
+        for part in text_slices(batches, most_bytes=1 << 20):
+            found = []
+            made = elements(part.column("text").to_pylist())
+            for a, salt, side, i, x in zip(*(part.column(c).to_pylist() for c in (*order, "id")), made):
+                if side == 0:
+                    group, own = (a, salt), x
+                elif group == (a, salt):
+                    both = _shared(own, x)
+                    found.append((a, i, both, len(own) + len(x) - both))
+            columns = list(zip(*found)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "both", "any"])
+
+    told = tables.put(rows.mapInArrow(run, "a long, b long, both long, any long"), "compared")
+    tables.drop(dealt)
+    return told
 
 
 def linked(threshold: int = 75) -> Column:
     return 100 * F.col("both") >= threshold * F.col("any")
 
 
-def _blocks_linked(elements: Callable[[str], np.ndarray], group: pa.Table) -> pa.Table:
+def _common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many elements each set of ``left`` has in common with each of ``right``: products of
+    0-1 matrices, some thousand elements at a time."""
+    values = np.concatenate([*left, *right]) if left or right else np.zeros(0, dtype=np.uint64)
+    _, number = np.unique(values, return_inverse=True)
+    owner = np.repeat(np.arange(len(left) + len(right)), [len(x) for x in (*left, *right)])
+    order = np.argsort(number, kind="stable")
+    number, owner = number[order], owner[order]
+    total = np.zeros((len(left), len(right)))
+    for first in range(0, int(number[-1]) + 1 if len(number) else 0, _COLUMNS):
+        part = slice(*np.searchsorted(number, [first, first + _COLUMNS]))
+        table = np.zeros((len(left) + len(right), _COLUMNS), dtype=np.float32)
+        table[owner[part], number[part] - first] = 1
+        total += table[: len(left)] @ table[len(left) :].T
+    return total.astype(np.int64)
+
+
+def _blocks_linked(elements: Callable[[list[str]], list[np.ndarray]], group: pa.Table) -> pa.Table:
     """A spanning forest of the links across two blocks, between different components."""
-    ids, comps = group.column("id").to_pylist(), group.column("component").to_pylist()
-    rows = {i: (c, t, minor) for i, c, t, minor in zip(ids, comps, group.column("text").to_pylist(), group.column("minor").to_pylist())}
-    made = {i: elements(t) for i, (_, t, _) in rows.items()}
+    ids, comps = group.column("id").to_numpy(), group.column("component").to_numpy()
+    minor = np.array(group.column("minor").to_pylist(), dtype=bool)
+    made = elements(group.column("text").to_pylist())
+    at = np.flatnonzero(minor)
+    sizes = np.array([len(x) for x in made], dtype=np.int64)
+    both = _common_counts([made[i] for i in at], made)
+    near = 100 * both >= 75 * (sizes[at][:, None] + sizes[None, :] - both)
+    near &= comps[at][:, None] != comps[None, :]
     parent: dict[int, int] = {}
 
     def root(c: int) -> int:
@@ -144,15 +184,11 @@ def _blocks_linked(elements: Callable[[str], np.ndarray], group: pa.Table) -> pa
         return c
 
     found = []
-    for i in (i for i, r in rows.items() if r[2]):
-        for j, x in made.items():
-            c, d = root(rows[i][0]), root(rows[j][0])
-            if c == d or 4 * min(len(x), len(made[i])) < 3 * max(len(x), len(made[i])):
-                continue
-            both = _shared(made[i], x)
-            if 100 * both >= 75 * (len(made[i]) + len(x) - both):
-                parent[max(c, d)] = min(c, d)
-                found.append((i, j))
+    for i, j in zip(*np.nonzero(near)):
+        c, d = root(int(comps[at[i]])), root(int(comps[j]))
+        if c != d:
+            parent[max(c, d)] = min(c, d)
+            found.append((int(ids[at[i]]), int(ids[j])))
     return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)] or [pa.array([], pa.int64())] * 2, ["a", "b"])
 
 
@@ -176,10 +212,9 @@ def _by_prefixes(tables: Tables, sets: Sets, texts: DataFrame, ids: DataFrame) -
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(_BUCKETS, dtype=np.int64)
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                at, n = np.unique((elements(text) % np.uint64(_BUCKETS)).astype(np.int64), return_counts=True)
-                total[at] += n
+        for part in text_slices(batches, most_bytes=1 << 20):
+            found = np.concatenate(elements(part.column("text").to_pylist()))
+            total += np.bincount((found % np.uint64(_BUCKETS)).astype(np.int64), minlength=_BUCKETS)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["bucket", "n"])
 
@@ -189,14 +224,16 @@ def _by_prefixes(tables: Tables, sets: Sets, texts: DataFrame, ids: DataFrame) -
     shared = tables.spark.sparkContext.broadcast(counts)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches):
-            for i, text in zip(part.column("id").to_pylist(), part.column("text").to_pylist()):
-                own = elements(text)
+        for part in text_slices(batches, most_bytes=1 << 20):
+            for i, own in zip(part.column("id").to_pylist(), elements(part.column("text").to_pylist())):
                 keys = _prefix(own, shared.value).view(np.int64)
                 columns = [keys, np.full(len(keys), i, dtype=np.int64), np.full(len(keys), len(own), dtype=np.int64)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "id", "n"])
 
-    return tables.put(chosen.mapInArrow(run, "key long, id long, n long"), "prefixes")
+    keys = tables.put(chosen.mapInArrow(run, "key long, id long, n long"), "prefixes")
+    shared.destroy()
+    tables.drop(chosen)
+    return keys
 
 
 def _balls(
@@ -239,7 +276,9 @@ def _balls(
         short.append(rest.filter(f"size <= {SHORT_LIST}"))
         long_lists = rest.filter(f"size > {SHORT_LIST}")
         if round_ == 0 and not long_lists.isEmpty():
-            lists = shared_keys(tables, _by_prefixes(tables, sets, texts, long_lists.select("id").distinct()))
+            keys = _by_prefixes(tables, sets, texts, long_lists.select("id").distinct())
+            lists = shared_keys(tables, keys)
+            tables.drop(keys)
             short.append(lists.filter(f"size <= {SHORT_LIST}"))
             long_lists = lists.filter(f"size > {SHORT_LIST}")
         else:
@@ -279,27 +318,20 @@ def _inside_balls(tables: Tables, sets: Sets, texts: DataFrame, balls: DataFrame
     return tables.put(found, "inside")
 
 
-def components_of(
-    tables: Tables, sets: Sets, keys: DataFrame, enough: Column, extra: DataFrame | None = None
-) -> DataFrame:
+def components_of(tables: Tables, sets: Sets, pairs: DataFrame, long_lists: DataFrame) -> DataFrame:
     """(id, component) of all linked sets.
 
-    ``keys`` is (key, id, n), n the size of the set; any two similar sets share a key. ``enough``
-    tells, on (n_a, n_b, shared), which pairs of short lists are compared. ``extra`` are more
-    pairs (a, b, n_a, n_b) to compare.
+    Any two similar sets are a pair of ``pairs`` (a, b, n_a, n_b; n is the size of the set), or
+    members of one of ``long_lists`` (key, id, n, size).
 
     Each set is first compared with the least of its candidates, and members of long lists with
     centres; what this joins need not be compared any more, so that a large group of near copies
     costs about one comparison a member. All other candidates are compared, none is given up.
     """
-    lists = shared_keys(tables, keys)
-    long_lists = lists.filter(f"size > {SHORT_LIST}")
-    short = pairs_in_lists(lists.filter(f"size <= {SHORT_LIST}")).filter(enough).drop("shared")
-    if extra is not None:
-        short = short.unionByName(extra).distinct()
-    short = tables.put(short, "pairs")
+    short = tables.put(pairs, "pairs")
     ids = short.select(F.col("a").alias("id")).union(short.select("b")).union(long_lists.select("id")).distinct()
     texts = needed_texts(tables, sets, tables.put(ids, "ids"))
+    tables.release()
     balls, more = _balls(tables, sets, texts, long_lists)
     for m in more:
         short = short.unionByName(pairs_in_lists(m).drop("shared"))
@@ -310,6 +342,7 @@ def components_of(
     links = told.filter(linked()).select("a", "b")
     if balls is not None:
         links = links.union(balls.filter(linked()).select(F.col("c").alias("a"), F.col("id").alias("b")))
+    tables.release()
     components = connected_components(tables, links)
     at = lambda c: components.select(F.col("id").alias(c), F.col("component").alias(f"of_{c}"))
     left = short.join(told.select("a", "b"), ["a", "b"], "left_anti").join(at("a"), "a", "left").join(at("b"), "b", "left")
@@ -319,4 +352,7 @@ def components_of(
     if balls is not None:
         more_links = more_links.union(_inside_balls(tables, sets, texts, balls, components))
     stars = components.select(F.col("id").alias("a"), F.col("component").alias("b"))
-    return connected_components(tables, stars.union(more_links))
+    more_links = tables.put(stars.union(more_links), "links")
+    tables.drop(texts, short)
+    tables.release()
+    return connected_components(tables, more_links)

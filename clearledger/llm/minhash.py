@@ -11,56 +11,58 @@ from pyspark.sql import functions as F
 
 from clearledger.llm import linking
 from clearledger.llm.common import Tables, slices
-from clearledger.llm.shingles import fingerprint, many_shingles, mix, text_shingles
+from clearledger.llm.shingles import fingerprint, many_shingles
 
 KEPT = 32  # values of a sketch
-LEAST_SHARED = 4  # of full sketches, for a pair to be compared
-LEAST_RARE = 20  # values of a full sketch that are in short lists
-BANDS, BAND_ROWS = 48, 5
-_SEEDS = mix(np.arange(1, BANDS * BAND_ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+LEAST_RARE = 22  # values of a full sketch that are in short lists
+LEAST_OF_UNION = 10  # of KEPT values of a union's sketch, those that both sets have
+_SIGN = np.uint64(1 << 63)
+WHOLE = 24  # sets up to this size, and all that are similar to them, are whole in their sketches
 
 
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, n (size of its shingle set), two halves of the set's fingerprint, and the
-    ``KEPT`` least hashes of the set."""
-    source = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    """Per row: id, k (a hash of id and text), n (size of its shingle set), two halves of the set's
+    fingerprint, and the ``KEPT`` least hashes of the set."""
+    source = _source(docs, id_col, text_col)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", 1 << 20):
                 made = many_shingles([t or "" for t in part.column("text").to_pylist()])
                 one, two = zip(*map(fingerprint, made))
-                least = [x[:KEPT].view(np.int64) for x in made]
-                columns = [part.column("id"), pa.array(list(map(len, made)), pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(least, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "n", "one", "two", "least"])
+                least = [(x[:KEPT] ^ _SIGN).view(np.int64) for x in made]  # in the order of the hashes
+                columns = [part.column("id"), part.column("k"), pa.array(list(map(len, made)), pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(least, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "k", "n", "one", "two", "least"])
 
-    return source.mapInArrow(run, "id long, n long, one long, two long, least array<long>")
+    return source.mapInArrow(run, "id long, k long, n long, one long, two long, least array<long>")
+
+
+def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, k, text); rows with the same id and text have the same ``k``."""
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    return rows.select("id", F.xxhash64("id", "text").alias("k"), "text")
 
 
 def _document_texts(part: pa.RecordBatch) -> Iterator[tuple[int, str]]:
-    for i, text in zip(part.column("id").to_pylist(), part.column("text").to_pylist()):
+    for i, k, text in zip(*(part.column(c).to_pylist() for c in ("id", "k", "text"))):
         if i is not None:
-            yield i, text or ""
+            yield k, text or ""
 
 
-def _band_keys(texts: DataFrame) -> DataFrame:
-    """(key, id, n): ``BANDS`` keys of ``BAND_ROWS`` minima each."""
+def _near_by_union(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs whose similarity, estimated by the sketch of their union, may reach 0.75.
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text", 1 << 20):
-                keys, ids, sizes = [], [], []
-                for i, text in zip(part.column("id").to_pylist(), part.column("text").to_pylist()):
-                    elements = text_shingles(text)
-                    least = np.array([((elements ^ s) * np.uint64(0x9FB21C651E98DF25)).min() for s in _SEEDS])
-                    rows = mix(least.reshape(BANDS, BAND_ROWS) + np.arange(BANDS, dtype=np.uint64)[:, None])
-                    keys.append(mix(np.bitwise_xor.reduce(rows * np.arange(1, 2 * BAND_ROWS, 2, dtype=np.uint64), axis=1)))
-                    ids += [i] * BANDS
-                    sizes += [len(elements)] * BANDS
-                if ids:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64())], ["key", "id", "n"])
-
-    return texts.mapInArrow(run, "key long, id long, n long")
+    The ``KEPT`` least values of both sketches together are the sketch of the union; the share of
+    them that both sets have is the estimate. A similar pair has under ``LEAST_OF_UNION`` with a
+    chance of 1e-8.
+    """
+    sketch = lambda c: classes.select(F.col("cid").alias(c), F.col("least").alias(f"least_{c}"))
+    both = pairs.join(sketch("a"), "a").join(sketch("b"), "b")
+    union = F.slice(F.array_sort(F.array_union("least_a", "least_b")), 1, KEPT)
+    common = F.array_intersect("least_a", "least_b")
+    both = both.withColumn("of", F.least(F.size(F.array_union("least_a", "least_b")), F.lit(KEPT)))
+    kept = F.size(F.array_intersect(union, common))
+    return both.filter(kept * KEPT >= F.col("of") * LEAST_OF_UNION).select("a", "b", "n_a", "n_b")
 
 
 def near_duplicates(
@@ -71,16 +73,16 @@ def near_duplicates(
     Two documents link if the Jaccard similarity of their sets of five-word shingles is 0.75 or
     more, on the full sets of 64-bit shingle hashes.
 
-    1. Equal sets are one class, by a 128-bit fingerprint; a class is its least id.
-    2. Each class retains its ``KEPT`` least hashes. Inverted lists of retained values count how
-       many a pair shares; pairs below ``LEAST_SHARED`` are dropped (one is enough for sets that
-       are smaller than a sketch). A similar pair shares each value of the sketch of its union
-       with a chance of 0.75 at least, so less than 4 of 20 with one of 3e-8.
-    3. Values in lists over ``linking.SHORT_LIST`` are left out, except for classes that have
-       under ``LEAST_RARE`` others. Those, mostly made of common passages, get keys of
-       ``BAND_ROWS`` minima; a pair at 0.75 shares none of the ``BANDS`` keys with a chance of
-       2e-6. Long lists of these are near copies, compared with centres first.
-    4. Exact comparison and distributed components, see ``linking``.
+    1. Equal sets are one class, by a 128-bit fingerprint, whatever the ids of its documents.
+    2. Each class retains its ``KEPT`` least hashes, of one hash function. Inverted lists of
+       retained values propose pairs: all pairs of short lists, which the sketch of their union
+       filters.
+    3. Long lists hold common passages or near copies. A similar pair differs in about 8 of 32 values,
+       so where one of the two has ``LEAST_RARE`` values in short lists, they share one of those,
+       but for a chance of 1e-7 at 0.75 (up to ``WHOLE`` values: for certain where over a third is in
+       short lists). All other classes stay in their long lists, of which two similar ones always share
+       one; those are met by centres, and what these leave by exact prefix keys, see ``linking``.
+    4. Exact comparison of the full sets and distributed components, see ``linking``.
 
     No list, class or component is gathered in one task or on the driver.
 
@@ -91,25 +93,28 @@ def near_duplicates(
     tables = tables or Tables(spark, "minhash")
     made = tables.put(sketches(docs, id_col, text_col), "sketches")
     full = made.filter("n > 0 and id is not null")
-    classes = full.groupBy("one", "two", "n").agg(F.min("id").alias("cid"), F.first("least").alias("least"))
+    by = ["one", "two", "n"]
+    classes = full.groupBy(*by).agg(F.min("k").alias("cid"), F.min("id").alias("least_id"), F.first("least").alias("least"))
     classes = tables.put(classes, "classes")
-    values = classes.select(F.explode("least").alias("key"), F.col("cid").alias("id"), "n")
-    lists = linking.shared_keys(tables, values)
-    common = lists.filter(f"size > {linking.SHORT_LIST}").groupBy("id", "n").agg(F.count("*").alias("common"))
-    kept = F.least("n", F.lit(KEPT))
-    rare_enough = F.when(F.col("n") >= KEPT, kept - F.col("common") >= LEAST_RARE).otherwise(4 * (kept - F.col("common")) > F.col("n"))
-    poor = tables.put(common.filter(~rare_enough).select("id"), "poor")
-    enough = F.col("shared") >= F.when(F.least("n_a", "n_b") >= KEPT, LEAST_SHARED).otherwise(1)
-    pairs = tables.put(
-        linking.pairs_in_lists(lists.filter(f"size <= {linking.SHORT_LIST}")).filter(enough).drop("shared"), "rare-pairs"
-    )
-    source = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    sets = linking.Sets(source, _document_texts, text_shingles)
-    keys = tables.put(_band_keys(linking.needed_texts(tables, sets, poor)), "bands")
-    found = linking.components_of(tables, sets, keys, F.lit(True), extra=pairs)
-    at = found.select(F.col("id").alias("cid"), "component")
-    direct = full.join(classes.select("one", "two", "n", "cid"), ["one", "two", "n"]).join(at, "cid", "left")
-    direct = direct.select("id", F.coalesce("component", "cid").alias("component"))
+    lists = linking.shared_keys(tables, classes.select(F.explode("least").alias("key"), F.col("cid").alias("id"), "n"))
+    is_short = F.col("size") <= linking.SHORT_LIST
+    common = lists.filter(~is_short).groupBy("id", "n").agg(F.count("*").alias("common"))
+    rare = F.least("n", F.lit(KEPT)) - F.col("common")
+    poor = common.filter(F.when(F.col("n") <= WHOLE, 3 * rare <= F.col("n")).otherwise(rare < LEAST_RARE))
+    left = lists.filter(~is_short).join(poor.select("id"), "id", "left_semi").select("key", "id", "n")
+    left = linking.with_sizes(tables, tables.put(left, "poor"))
+    found = linking.pairs_in_lists(lists.filter(is_short)).drop("shared")
+    pairs = tables.put(_near_by_union(found, classes), "near")
+    tables.drop(lists)
+    pairs = pairs.unionByName(linking.pairs_in_lists(left.filter(is_short)).drop("shared")).distinct()
+    sets = linking.Sets(_source(docs, id_col, text_col), _document_texts, many_shingles)
+    linked = linking.components_of(tables, sets, pairs, left.filter(~is_short))
+    at = linked.select(F.col("id").alias("cid"), "component")
+    of_class = classes.select(*by, "cid", "least_id").join(at, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+    least = of_class.groupBy("component").agg(F.min("least_id").alias("least_of"))
+    of_class = of_class.join(least, "component").select(*by, F.col("least_of").alias("component"))
+    direct = full.join(of_class, by)
+    direct = direct.select("id", "component")
     reached = direct.groupBy("id").agg(F.min("component").alias("component_id"), F.max("component").alias("other"))
     reached = tables.put(reached, "reached")
     if not reached.filter("component_id != other").isEmpty():  # ids that repeat with other texts

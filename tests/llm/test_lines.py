@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from clearledger.llm import common, lines, linking, queries
-from clearledger.llm.lines import MIN_CHARS, char_shingles, fuzzy_lines, normal, remove_repeated_lines, signatures
+from clearledger.llm.lines import MIN_CHARS, char_shingles, fuzzy_lines, many_char_shingles, normal, remove_repeated_lines, signatures
 
 
 @pytest.fixture
@@ -18,16 +18,16 @@ def grams(line):
     return {line[i : i + 8] for i in range(len(line) - 7)}
 
 
-def long_lines(rows):
+def long_lines(rows, least=MIN_CHARS):
     for i, text in rows:
         for k, line in enumerate((text or "").split("\n")):
             x = " ".join(line.lower().split())
-            if len(line) >= MIN_CHARS and len(x) >= MIN_CHARS:
+            if len(line) >= least and len(x) >= max(1, least):
                 yield (i, k), x
 
 
-def expected(rows):
-    places, parent = sorted(long_lines(rows)), {}
+def expected(rows, least=MIN_CHARS):
+    places, parent = sorted(long_lines(rows, least)), {}
     sets = {x: grams(x) for _, x in places}
 
     def root(x):
@@ -37,7 +37,7 @@ def expected(rows):
 
     for k, (_, x) in enumerate(places):
         for _, y in places[:k]:
-            if x != y and 100 * len(sets[x] & sets[y]) >= 75 * len(sets[x] | sets[y]):
+            if x != y and sets[x] and sets[y] and 100 * len(sets[x] & sets[y]) >= 75 * len(sets[x] | sets[y]):
                 parent[root(x)] = root(y)
     first = {}
     for p, x in places:
@@ -123,8 +123,10 @@ def test_long_lists_lose_no_pair(spark, tables):
     # One list of all, and keys of their own that partners do not share and that rank before it.
     keys = [(7, i, len(grams(t))) for i, t in texts] + [(10**6 * k + i, i, len(grams(t))) for i, t in texts for k in range(1, 40)]
     source = spark.createDataFrame(texts, "id long, text string")
-    sets = linking.Sets(source, lambda part: zip(part.column("id").to_pylist(), part.column("text").to_pylist()), char_shingles)
-    found = linking.components_of(tables, sets, spark.createDataFrame(keys, "key long, id long, n long"), F.lit(True))
+    sets = linking.Sets(source, lambda part: zip(part.column("id").to_pylist(), part.column("text").to_pylist()), many_char_shingles)
+    lists = linking.shared_keys(tables, spark.createDataFrame(keys, "key long, id long, n long"))
+    pairs = linking.pairs_in_lists(lists.filter(F.col("size") <= linking.SHORT_LIST)).drop("shared")
+    found = linking.components_of(tables, sets, pairs, lists.filter(F.col("size") > linking.SHORT_LIST))
     got = {r.id: r.component for r in found.collect() if r.id != r.component}
     assert got == {1000 + i: i for i in range(60)}
 
@@ -152,3 +154,63 @@ def test_the_query_and_the_pipeline_take_short_lines(spark, docs, tmp_path):
     assert {(r.doc_id, r.line_no) for r in got if not r.kept} == {(2, 0), (3, 0)} and len(got) == 5
     left = corpus_pipeline.line_dedup(spark, df, "").collect()
     assert {r.doc_id: r.text for r in left} == {1: "All rights reserved.\nyes", 2: "no"}
+
+
+def all_lines(rng, changes):
+    """Lines of any length with a word; copies with ``changes`` characters changed, and exact ones."""
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(1, 9))) for _ in range(300)]
+    base = [" ".join(rng.choices(words, k=rng.randint(1, 60))) for _ in range(150)]
+    rows = []
+    for i in range(300):
+        text = []
+        for _ in range(rng.randint(0, 4)):
+            line = list(rng.choice(base))
+            for _ in range(rng.choice([0, *changes]) if len(line) > 240 * max(changes) else 0):
+                line[rng.randrange(len(line))] = rng.choice("xyz")
+            text.append("".join(line) if rng.random() < 0.7 else "".join(line).upper())
+        rows.append((i, "\n".join([*text, rng.choice(["}", "", "  ", "All rights reserved."])])))
+    return rows
+
+
+def test_the_form_of_the_query_equals_all_pairs_for_close_lines(spark, docs, tmp_path):
+    """Links at 0.85 and above: a changed character is in 8 of more than 230 shingles."""
+    rows = all_lines(random.Random(17), [1])
+    docs(rows).write.parquet(f"{tmp_path}/in/documents.parquet")
+    got = {(r.doc_id, r.line_no): (r.first_id, r.first_line_no) for r in queries.op6_fuzzy_lines(spark, f"{tmp_path}/in").collect()}
+    assert got == expected(rows, 1)
+
+
+def test_recall_at_the_threshold():
+    """Pairs between 0.75 and 0.80: the stated chance to share no key is 0.0014 at most."""
+    rng, missed, tried = random.Random(18), 0, 0
+    for _ in range(4000):
+        line = rng.choices("abcdefghijklmnop ", k=rng.randint(60, 110))
+        other = line.copy()
+        other[rng.randrange(8, len(line) - 8)] = "z"
+        pair = [normal("".join(line)), normal("".join(other))]
+        a, b = map(grams, pair)
+        if not 75 <= 100 * len(a & b) / max(1, len(a | b)) <= 80:
+            continue
+        keys = {}
+        for number, _, k in signatures(pair):
+            for n, row in zip(number, k):
+                keys.setdefault(n, set()).update(row.tolist())
+        tried += 1
+        missed += not keys[0] & keys[1]
+    assert tried > 300 and missed <= 0.0014 * tried + 3
+
+
+def test_lines_beyond_the_room_for_numbers_have_keys():
+    n = (1 << 20) + 5
+    found = [(number, sizes) for number, sizes, _ in signatures([f"{i:08d}x" for i in range(n)])]
+    assert sum(len(number) for number, _ in found) == n
+    assert np.array_equal(np.sort(np.concatenate([number for number, _ in found])), np.arange(n))
+    assert all((sizes == 2).all() for _, sizes in found)
+
+
+def test_common_counts():
+    rng = np.random.default_rng(19)
+    sets = [np.unique(rng.integers(0, 30_000, size=k).astype(np.uint64)) for k in (0, 1, 500, 20_000, 20_000, 3)]
+    want = [[len(np.intersect1d(a, b)) for b in sets] for a in sets[2:]]
+    assert linking._common_counts(sets[2:], sets).tolist() == want
+    assert linking._common_counts([], []).shape == (0, 0)

@@ -1,10 +1,11 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from clearledger.llm import linking
-from clearledger.llm.minhash import near_duplicates
+from clearledger.llm.minhash import KEPT, LEAST_OF_UNION, near_duplicates
 from clearledger.llm.shingles import text_shingles
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -86,6 +87,39 @@ def test_an_id_with_two_texts_joins_their_components(spark, docs):
     assert {(r.doc_id, r.component_id) for r in rows} == {(1, 1), (5, 1), (9, 1)}
 
 
+def test_an_id_with_two_texts_keeps_links_of_near_copies(spark, docs):
+    rng = random.Random(11)
+    one, two = ([f"{c}{rng.randrange(999)}" for _ in range(60)] for c in "xy")
+    near = lambda words: " ".join([*words[:-1], "else"])
+    pairs = [(5, " ".join(one)), (5, " ".join(two)), (7, near(one)), (9, near(two)), (8, "a text of its own with some words")]
+    want = check(spark, docs(pairs), pairs)
+    assert want == {5: 5, 7: 5, 9: 5, 8: 8}
+
+
+def test_contained_sets_with_common_parts(spark, docs):
+    """One set is inside the other, and most of what they share is common to many documents."""
+    rng = random.Random(12)
+    passages = [[f"p{k}x{i}" for i in range(90)] for k in range(3)]
+    pairs = [(i, " ".join([*passages[i % 3], *(f"own{i}x{j}" for j in range(60))])) for i in range(3 * (linking.SHORT_LIST + 10))]
+    for i in range(60):
+        own = [f"in{i}x{j}" for j in range(rng.randint(10, 25))]
+        more = [f"more{i}x{j}" for j in range(rng.randint(20, 40))]
+        pairs += [(2000 + 2 * i, " ".join([*passages[i % 3], *own])), (2001 + 2 * i, " ".join([*passages[i % 3], *own, *more]))]
+    want = check(spark, docs(pairs), pairs)
+    assert sum(want[2001 + 2 * i] != 2001 + 2 * i for i in range(60)) > 30
+
+
+def test_sketches_of_unions():
+    rng = np.random.default_rng(13)
+    low = 0
+    for _ in range(3000):
+        both, more = rng.integers(0, 2**62, 300), rng.integers(0, 2**62, 100)
+        a, b = np.sort(np.append(both, more[:50]))[:KEPT], np.sort(np.append(both, more[50:]))[:KEPT]
+        union = np.union1d(a, b)[:KEPT]
+        low = max(low, KEPT - len(np.intersect1d(union, np.intersect1d(a, b))))
+    assert KEPT - low > LEAST_OF_UNION
+
+
 @pytest.mark.parametrize("text", ["", "a", "A b\tc", "one two three four five six", "x " * 50, "É é ǅ " * 9])
 def test_hashed_sets_have_the_size_of_the_sets(text):
     assert len(text_shingles(text)) == len(shingle_set(text))
