@@ -22,7 +22,8 @@ BANDS, BAND_ROWS = 12, 3
 #: minima of bins of one hash; so two similar lines always have one of both in common.
 FEW = 128
 _SIGNATURE = BANDS * BAND_ROWS
-_PART = 1 << 16
+_PART, _LINES = 1 << 16, 1 << 13
+_BIN_BITS, _REST = 6, 45  # beside the 13 bits of a line's number in a part
 _SEEDS = mix(np.arange(1, _SIGNATURE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _ODD = np.arange(1, 2 * BAND_ROWS, 2, dtype=np.uint64)
 
@@ -67,19 +68,20 @@ def _keys(signature: np.ndarray, kind: int) -> np.ndarray:
 def signatures(lines: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Band keys of normalised lines: (numbers of lines, sizes of their sets, keys by line).
 
-    Lines go in parts of about ``_PART`` characters, which stay in the cache and hold fewer lines
-    than their numbers have room for (2**20), however long the text is.
+    Lines go in parts of about ``_PART`` characters, which stay in the cache, and of ``_LINES``
+    lines at most, for whose numbers there is room; so it does not matter how many there are.
     """
     start, chars = 0, 0
     for end, line in enumerate(lines, 1):
         chars += len(line) + 1
-        if chars >= _PART or end == len(lines):
+        if chars >= _PART or end - start == _LINES or end == len(lines):
             for number, sizes, keys in _signatures(lines[start:end]):
                 yield number + start, sizes, keys
             start, chars = end, 0
 
 
 def _signatures(lines: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """One sort, by line, bin and the rest of the hash, gives distinct shingles and least ones of bins."""
     lengths = np.array([len(x) + 1 for x in lines])
     codes = np.frombuffer(("\n".join(lines) + "\n").encode("utf-32-le"), dtype="<u4")
     if len(codes) < WIDTH + 1:
@@ -87,34 +89,32 @@ def _signatures(lines: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.n
     owner = np.repeat(np.arange(len(lines), dtype=np.uint64), lengths)
     hashes = _rolling(codes)
     last = np.cumsum(lengths) - 1  # the line ends
-    place = np.arange(len(hashes))
-    whole = place + WIDTH <= last[owner[: len(hashes)].astype(np.int64)]
-    packed = distinct((owner[: len(hashes)][whole] << np.uint64(44)) | (hashes[whole] >> np.uint64(20)))
-    number = (packed >> np.uint64(44)).astype(np.int64)
-    value = mix(packed & np.uint64((1 << 44) - 1))
-    starts = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]])) if len(number) else number
+    whole = np.arange(len(hashes)) + WIDTH <= np.repeat(last, lengths)[: len(hashes)]
+    v = hashes[whole]
+    cell = (owner[: len(hashes)][whole] << np.uint64(_BIN_BITS)) | (v % np.uint64(_SIGNATURE))
+    packed = distinct((cell << np.uint64(_REST)) | (v >> np.uint64(64 - _REST)))
+    if not len(packed):
+        return
+    number = (packed >> np.uint64(_REST + _BIN_BITS)).astype(np.int64)
+    starts = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]]))
     lines_with, sizes = number[starts], np.diff(np.append(starts, len(number)))
     few = sizes < FEW
     if few.any():
-        of_few = np.repeat(few, sizes)
         at = np.cumsum(sizes[few]) - sizes[few]
-        v = value[of_few]
+        v = mix(packed[np.repeat(few, sizes)] & np.uint64((1 << (_REST + _BIN_BITS)) - 1))
         least = np.stack([np.minimum.reduceat((v ^ s) * np.uint64(0x9FB21C651E98DF25), at) for s in _SEEDS], axis=1)
         yield lines_with[few], sizes[few], _keys(least, 0)
     many = 4 * sizes >= 3 * FEW
     if many.any():
-        of_many = np.repeat(many, sizes)
-        row = np.repeat(np.arange(int(many.sum()), dtype=np.uint64), sizes[many])
-        v = value[of_many]
-        cell = row * np.uint64(_SIGNATURE) + v % np.uint64(_SIGNATURE)
-        order = np.sort((cell << np.uint64(36)) | (v >> np.uint64(28)))
-        cells = (order >> np.uint64(36)).astype(np.int64)
+        order = packed[np.repeat(many, sizes)]
+        cells = order >> np.uint64(_REST)
         first = np.concatenate([[True], cells[1:] != cells[:-1]])
-        least = np.zeros(int(many.sum()) * _SIGNATURE, dtype=np.uint64)
-        filled = np.zeros(len(least), dtype=bool)
-        filled[cells[first]] = True
-        least[cells[first]] = order[first] & np.uint64((1 << 36) - 1)
-        least, filled = least.reshape(-1, _SIGNATURE), filled.reshape(-1, _SIGNATURE)
+        bins = (cells[first] & np.uint64((1 << _BIN_BITS) - 1)).astype(np.int64)
+        rows = np.repeat(np.arange(int(many.sum())), sizes[many])[first]
+        least = np.zeros((int(many.sum()), _SIGNATURE), dtype=np.uint64)
+        filled = np.zeros(least.shape, dtype=bool)
+        filled[rows, bins] = True
+        least[rows, bins] = order[first] & np.uint64((1 << _REST) - 1)
         full, given = filled, least
         for shift in range(1, _SIGNATURE):  # an empty bin borrows from the next full one
             if filled.all():
@@ -139,37 +139,41 @@ def _line_texts(part: pa.RecordBatch, least: int) -> Iterator[tuple[int, str]]:
 
 
 def _occurrences(source: DataFrame, least: int) -> DataFrame:
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text", 4 << 20):
-                ids, rows, numbers, hashes = [], [], [], []
-                for i, row, text in zip(*(part.column(c).to_pylist() for c in ("id", "row", "text"))):
-                    for k, line in _lines_of(text, least):
-                        ids.append(i)
-                        rows.append(row)
-                        numbers.append(k)
-                        hashes.append(line_id(line))
-                columns = [pa.array(x, pa.int64()) for x in (ids, rows, numbers, hashes)]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "row", "line_no", "line_id"])
-
-    return source.mapInArrow(run, "id long, row long, line_no long, line_id long")
-
-
-def _band_keys(source: DataFrame, least: int) -> DataFrame:
-    """(id, n, keys) of the lines, each once a task. Lines without a shingle have none."""
+    """(id, row, line_no, line_id, n, keys) of every line; size of its set and band keys of each
+    that has a shingle, once a task."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
             for part in slices(batch, "text", 1 << 20):
-                fresh = {i: line for i, line in _line_texts(part, least) if len(line) >= WIDTH and i not in seen}
-                seen.update(fresh)
-                ids = np.array(list(fresh), dtype=np.int64)
-                for number, sizes, keys in signatures(list(fresh.values())) if fresh else ():
-                    lists = pa.ListArray.from_arrays(np.arange(len(number) + 1, dtype=np.int32) * BANDS, keys.reshape(-1).view(np.int64))
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[number]), pa.array(sizes.astype(np.int64)), lists], ["id", "n", "keys"])
-
-    return source.mapInArrow(run, "id long, n long, keys array<long>")
+                columns, fresh = [[], [], [], []], {}
+                for i, row, text in zip(*(part.column(c).to_pylist() for c in ("id", "row", "text"))):
+                    for k, line in _lines_of(text, least):
+                        x = line_id(line)
+                        if len(line) >= WIDTH and x not in seen:
+                            seen.add(x)
+                            fresh[len(columns[3])] = line
+                        for column, value in zip(columns, (i, row, k, x)):
+                            column.append(value)
+                places = np.array(list(fresh), dtype=np.int64)
+                sizes, keys = np.zeros(len(columns[3]), dtype=np.int64), np.zeros((len(columns[3]), BANDS), dtype=np.uint64)
+                for number, n, k in signatures(list(fresh.values())) if fresh else ():
+                    # Lines around FEW shingles have keys of both kinds, in two rows.
+                    again = sizes[places[number]] > 0
+                    sizes[places[number[~again]]], keys[places[number[~again]]] = n[~again], k[~again]
+                    if again.any():
+                        yield _batch([np.zeros(int(again.sum()), dtype=np.int64)] * 2 + [np.full(int(again.sum()), -1), np.array(columns[3])[places[number[again]]]], n[again], k[again])
+                yield _batch(columns, sizes, keys)
+
+    return source.mapInArrow(run, "id long, row long, line_no long, line_id long, n long, keys array<long>")
+
+
+def _batch(columns: list, sizes: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
+    have = sizes > 0
+    offsets = pa.array(np.append(0, np.cumsum(have) * BANDS).astype(np.int32), mask=np.append(~have, False))
+    lists = pa.ListArray.from_arrays(offsets, keys[have].reshape(-1).view(np.int64))
+    arrays = [*[pa.array(c, pa.int64()) for c in columns], pa.array(sizes), lists]
+    return pa.RecordBatch.from_arrays(arrays, ["id", "row", "line_no", "line_id", "n", "keys"])
 
 
 def fuzzy_lines(
@@ -203,11 +207,11 @@ def fuzzy_lines(
     source = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("id"), row.cast("long").alias("row"), F.col(f"`{text_col}`").cast("string").alias("text")
     )
-    places = tables.put(_occurrences(source, least_chars), "places")
+    made = tables.put(_occurrences(source, least_chars), "lines")
+    places = tables.put(made.filter("line_no >= 0").select("id", "row", "line_no", "line_id"), "places")
     sets = linking.Sets(source.select("text"), partial(_line_texts, least=least_chars), many_char_shingles)
-    bands = tables.put(_band_keys(source, least_chars), "bands")
-    lists = linking.shared_keys(tables, bands.select(F.explode("keys").alias("key"), "id", "n"))
-    tables.drop(bands)
+    lists = linking.shared_keys(tables, made.select(F.explode("keys").alias("key"), F.col("line_id").alias("id"), "n"))
+    tables.drop(made)
     tables.release()
     pairs = linking.pairs_in_lists(lists.filter(F.col("size") <= linking.SHORT_LIST)).drop("shared")
     found = linking.components_of(tables, sets, pairs, lists.filter(F.col("size") > linking.SHORT_LIST))

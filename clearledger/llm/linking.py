@@ -41,9 +41,11 @@ def shared_keys(tables: Tables, keys: DataFrame) -> DataFrame:
     """Distinct (key, id, n) of the keys that more than one id has, with ``size``, their number.
 
     Most keys have one id; the first aggregation drops them on two numbers a key, before ids
-    are shuffled again.
+    are shuffled again. What it leaves is written, so that its shuffle files can go first.
     """
     several = keys.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo != hi").select("key")
+    several = tables.put(several, "several")
+    tables.release()
     matched = keys.join(several.hint("shuffle_hash"), "key").select("key", "id", "n").distinct()
     return with_sizes(tables, tables.put(matched, "keys"))
 
@@ -67,12 +69,12 @@ def pairs_in_lists(lists: DataFrame) -> DataFrame:
 
 
 def needed_texts(tables: Tables, sets: Sets, ids: DataFrame) -> DataFrame:
-    """(id, text) of ``ids``, read from the source in one pass.
+    """(id, text) of ``ids``, which are hashes, read from the source in one pass.
 
     A bit map of fixed size, made of the ids in tasks, goes to all tasks and stops most other
     texts before the shuffle; the join then decides.
     """
-    bit = F.pmod(F.xxhash64("id"), F.lit(_BITS))
+    bit = F.pmod("id", F.lit(_BITS))
     words = ids.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, int(bit % 64))")).alias("bits")
     )
@@ -83,16 +85,14 @@ def needed_texts(tables: Tables, sets: Sets, ids: DataFrame) -> DataFrame:
     make = sets.texts
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         bits, seen = shared.value, set()
         for part in text_slices(batches):
             ids, texts = [], []
-            for i, text in make(part):
-                if i in seen:
-                    continue
-                at = xxhash.xxh64_intdigest(int(i).to_bytes(8, "little", signed=True), 42) % _BITS
-                if int(bits[at >> 6]) >> (at & 63) & 1:
+            made = list(make(part))
+            at = np.array([i for i, _ in made], dtype=np.int64) % _BITS
+            for k in np.flatnonzero((bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)):
+                i, text = made[k]
+                if i not in seen:
                     ids.append(i)
                     texts.append(text)
                     seen.add(i)  # ids of texts that are needed only
@@ -215,12 +215,22 @@ def _by_prefixes(tables: Tables, sets: Sets, texts: DataFrame, ids: DataFrame) -
         for part in text_slices(batches, most_bytes=1 << 20):
             found = np.concatenate(elements(part.column("text").to_pylist()))
             total += np.bincount((found % np.uint64(_BUCKETS)).astype(np.int64), minlength=_BUCKETS)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["bucket", "n"])
-
-    table = chosen.mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+        for block in range(0, _BUCKETS, _COLUMNS):
+            at = np.flatnonzero(total[block : block + _COLUMNS])
+            if len(at):
+                columns = [pa.array([block], pa.int64()), pa.array([at], pa.list_(pa.int64())), pa.array([total[block + at]], pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, ["block", "at", "n"])
+
+    def add(group: pa.Table) -> pa.Table:
+        """One block's counts, of one row a task."""
+        at, n = (group.column(c).combine_chunks().flatten().to_numpy() for c in ("at", "n"))
+        total = np.bincount(at, n, minlength=_COLUMNS).astype(np.int64)
+        return pa.table({"block": [group.column("block")[0].as_py()], "n": pa.array([total], pa.list_(pa.int64()))})
+
+    parts = chosen.mapInArrow(count, "block long, at array<long>, n array<long>")
     counts = np.zeros(_BUCKETS, dtype=np.int64)
-    counts[table.column("bucket").to_numpy()] = table.column("n").to_numpy()
+    for row in parts.groupBy("block").applyInArrow(add, "block long, n array<long>").collect():
+        counts[row.block : row.block + _COLUMNS] = row.n
     shared = tables.spark.sparkContext.broadcast(counts)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
