@@ -34,6 +34,10 @@ class Tables:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def feeds(self, df: DataFrame) -> bool:
+        """Whether ``df`` still reads tables of this run."""
+        return any(f"/{self.base.rsplit('/', 1)[1]}/" in f for f in df.inputFiles())
+
     def drop(self, *tables: DataFrame) -> None:
         """Delete tables of this run that nothing reads any more."""
         for df in tables:
@@ -51,6 +55,14 @@ class Tables:
         drop_folder(self.spark, self.base)
 
 
+def private(name: str, *frames: DataFrame) -> str:
+    """A column name like ``name`` that none of the frames has."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 class Memo(dict):
     """Results of ``make`` by key: the recent ones, between half of ``limit`` and ``limit``.
 

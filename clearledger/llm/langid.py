@@ -27,6 +27,7 @@ FAMILIES = {
 UNKNOWN = "und"
 BUCKETS = 4096
 SAMPLE_PER_LANGUAGE = 500
+_STEPS = 1 << 20
 _LETTER = re.compile(r"[^\W\d_]")
 #: ASCII in lower case, all but letters as spaces; the bytes of other characters stay.
 _PLAIN = bytes(b if b >= 128 else ord(chr(b).lower()) if chr(b).isalpha() else 32 for b in range(256))
@@ -37,7 +38,7 @@ def family_of(lang: str) -> str:
 
 
 def features(text: str) -> np.ndarray:
-    """Square roots of the shares of hashed runs of one to three bytes, as a unit vector."""
+    """Square roots of the shares of hashed runs of two and three bytes, as a unit vector."""
     b = np.frombuffer(f" {text.lower()} ".encode().translate(_PLAIN), dtype=np.uint8).astype(np.uint32)
     two = b[:-1] * np.uint32(257) + b[1:]
     three = two[:-1] * np.uint32(263) + b[2:]
@@ -116,24 +117,31 @@ def train(docs: DataFrame, learn: Column, per_language: int = SAMPLE_PER_LANGUAG
     """Model of the languages in rows of ``docs`` (doc_id, text, lang) where ``learn`` holds.
 
     Fitted on ``per_language`` rows of each language at most, those with the least hash of their
-    id, so the driver gets that many vectors of fixed length. None where there is no such row.
+    id and text, so the driver gets that many vectors of fixed length, however often an id or a row repeats.
+    Rows are thinned out by a bound on the hash first, from the counts of the languages, so that
+    only about twice as many rows as are taken meet by language. None where there is no such row.
     """
     known = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.select("doc_id", "lang").withColumn("k", F.row_number().over(order)).filter(F.col("k") <= per_language)
-    ids = F.broadcast(chosen.select("doc_id").distinct())  # per_language ids of each language
-    sample = known.join(ids, "doc_id", "left_semi").select("lang", "text")
+    hashed = known.select("lang", "text", F.xxhash64("doc_id", "text").alias("h"))
+    counts = known.groupBy("lang").agg(F.count("*").alias("n"))
+    share = F.pmod("h", F.lit(_STEPS)) * F.col("n") < F.lit(_STEPS) * (2 * per_language + 50)
+    thinned = hashed.join(counts, "lang").filter(share).drop("n")
+    order = Window.partitionBy("lang").orderBy("h")
+    sample = thinned.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= per_language).select("lang", "text")
 
     def vectors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
             found = [features(t).tobytes() for t in part.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column("lang"), pa.array(found, pa.binary())], ["lang", "x"])
 
-    rows = sample.mapInArrow(vectors, "lang string, x binary").toArrow().to_pylist()
-    if not rows:
+    rows = sample.mapInArrow(vectors, "lang string, x binary").toArrow()
+    if not rows.num_rows:
         return None
-    rows.sort(key=lambda r: (r["lang"], r["x"]))  # the same sums whatever the order of tasks
-    return Model(np.stack([np.frombuffer(r["x"], dtype=np.float32) for r in rows]), [r["lang"] for r in rows])
+    rows = rows.sort_by([("lang", "ascending"), ("x", "ascending")])  # the same sums whatever the order of tasks
+    x = np.empty((rows.num_rows, BUCKETS), dtype=np.float32)
+    for i, value in enumerate(rows.column("x")):
+        x[i] = np.frombuffer(value.as_buffer(), dtype=np.float32)
+    return Model(x, rows.column("lang").to_pylist())
 
 
 def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

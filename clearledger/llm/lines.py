@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clearledger.llm import linking
-from clearledger.llm.common import Tables, slices
+from clearledger.llm.common import Tables, private, slices
 from clearledger.llm.shingles import distinct, mix
 
 WIDTH = 8
@@ -222,6 +222,7 @@ def fuzzy_lines(
     several = first.filter("n > 1").drop("n")
     own = F.struct("id", "row", "line_no")
     result = joined.join(several, "component", "left").select("id", "row", "line_no", F.coalesce("first", own).alias("first"))
+    tables.drop(places)
     return result.select(
         F.col("id").alias(id_col), *([F.col("row").alias(row_col)] if row_col else []),
         "line_no", F.col("first.id").alias("first_id"), F.col("first.line_no").alias("first_line_no"),
@@ -244,16 +245,17 @@ def remove_repeated_lines(
     """``docs`` (doc_id, text, n_chars and any others) without the lines that are not kept.
 
     A document that loses all its lines with a word is a copy and goes. ``n_chars`` follows the
-    new text. All other rows and columns stay. Each row is a document of its own, whatever its id;
-    for that, the input is written with a number for each row.
+    new text. All other rows and columns stay, null texts and texts without a word included. Each row is a document
+    of its own, whatever its id; for that, the input is written with a number for each row.
     """
     tables = tables or Tables(spark, "lines")
-    numbered = tables.put(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-    found = fuzzy_lines(spark, numbered, tables=tables, least_chars=least_chars, row_col="__row")
-    gone = found.filter("not kept").groupBy("__row").agg(F.collect_set("line_no").alias("__gone"))
-    joined = numbered.join(gone, "__row", "left")
-    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(without_lines(F.col("text"), F.col("__gone")))
-    left = joined.withColumn("text", text).filter(F.col("__gone").isNull() | F.col("text").rlike(_WORD))
+    row, gone = private("row_number", docs), private("gone_lines", docs)
+    numbered = tables.put(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = fuzzy_lines(spark, numbered, tables=tables, least_chars=least_chars, row_col=row)
+    removed = found.filter("not kept").groupBy(row).agg(F.collect_set("line_no").alias(gone))
+    joined = numbered.join(removed, row, "left")
+    text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(without_lines(F.col("text"), F.col(gone)))
+    left = joined.withColumn("text", text).filter(F.col(gone).isNull() | F.col("text").rlike(_WORD))
     if "n_chars" in docs.columns:
-        left = left.withColumn("n_chars", F.when(F.col("__gone").isNull(), F.col("n_chars")).otherwise(F.char_length("text")))
+        left = left.withColumn("n_chars", F.when(F.col(gone).isNull(), F.col("n_chars")).otherwise(F.char_length("text")))
     return left.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearledger.llm.common import Tables, text_slices
+from clearledger.llm.common import Tables, private, text_slices
 
 SPANS = "array<struct<kind: string, start: long, end: long>>"
 _NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
@@ -160,12 +160,13 @@ def redact(spark: SparkSession, docs: DataFrame, mark: str = "[SECRET]", **optio
     """
     tables = options.pop("tables", None) or Tables(spark, "secrets")
     found = scan(spark, docs.select("doc_id", "text"), tables=tables, **options)
-    marked = found.filter(F.size("spans") > 0).select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans")).dropDuplicates(["__blob"])
+    blob, spans = private("blob", docs), private("spans", docs)
+    marked = found.filter(F.size("spans") > 0).select(F.col("blob").alias(blob), F.col("spans").alias(spans)).dropDuplicates([blob])
     own = F.sha2(F.col("text").cast("binary"), 256)
-    joined = docs.join(marked, own == F.col("__blob"), "left")
-    clean = joined.withColumn("text", _masked(F.col("text"), F.col("__spans"), mark))
+    joined = docs.join(marked, own == F.col(blob), "left")
+    clean = joined.withColumn("text", _masked(F.col("text"), F.col(spans), mark))
     if "n_chars" in docs.columns:
-        clean = clean.withColumn("n_chars", F.when(F.col("__spans").isNull(), F.col("n_chars")).otherwise(F.char_length("text")))
+        clean = clean.withColumn("n_chars", F.when(F.col(spans).isNull(), F.col("n_chars")).otherwise(F.char_length("text")))
     return clean.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -83,10 +83,12 @@ class Model:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, learn: Column, most: int) -> DataFrame:
-    """(y, text) of ``most`` labelled rows at most, those with the least hash of their id."""
+    """(doc_id, y, text) of ``most`` labelled documents at most, those with the least hash of
+    their id; of an id with several texts, the greatest."""
     known = labels.filter(learn & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    return docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(chosen), "doc_id").select("y", "text")
+    found = docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(chosen), "doc_id")
+    return found.groupBy("doc_id", "y").agg(F.max("text").alias("text"))
 
 
 def train(
@@ -94,9 +96,10 @@ def train(
 ) -> Model:
     """Fit to ``labels`` (doc_id, toxic) of rows of ``docs`` (doc_id, text) where ``learn`` holds.
 
-    A sample of ``max_docs`` labelled rows at most is used. In tasks, the features are counted by
+    A sample of ``max_docs`` labelled documents at most is used, each once, however often its id
+    repeats. In tasks, the features are counted by
     label, and the ``max_features`` most telling ones kept; then the sentences of the sample that
-    hold any of these are fitted on the driver, a bounded number of small lists. Without labelled
+    hold any of these are fitted on the driver, as flat arrays of the numbers of their features. Without labelled
     rows of both kinds, every text gets the share of toxic ones among those there are, or 0.
     """
     sample = _sample(docs, labels, learn, max_docs)
@@ -139,31 +142,34 @@ def _fit(sample: DataFrame, chosen: dict[int, float], share: float) -> Model:
     def bags(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Memo(lambda w: [column[f] for f in word_features(w) if f in column], _MEMO_WORDS // 4)
         for part in text_slices(batches):
-            rows = []
-            for y, text in zip(part.column("y").to_pylist(), part.column("text").to_pylist()):
+            empty, sizes, features = [], [], []
+            for text in part.column("text").to_pylist():
                 full = [[f for w in s for f in known[w]] for s in sentences(text)]
-                rows.append((y, sum(not s for s in full), [s for s in full if s]))
-            kinds = (pa.int64(), pa.int64(), pa.list_(pa.list_(pa.int32())))
-            arrays = [pa.array(c, t) for c, t in zip(zip(*rows), kinds)]
-            yield pa.RecordBatch.from_arrays(arrays, ["y", "empty", "full"])
-
-    rows = sample.mapInArrow(bags, "y long, empty long, full array<array<int>>").toArrow().to_pylist()
-    rows.sort(key=lambda r: (r["y"], r["empty"], r["full"]))
-    y = np.array([r["y"] for r in rows], dtype=np.float64)
-    empty = np.array([r["empty"] for r in rows], dtype=np.float64)
-    doc = np.repeat(np.arange(len(rows)), [len(r["full"]) for r in rows])
-    lists = [s for r in rows for s in r["full"]]
-    sentence = np.repeat(np.arange(len(lists)), [len(s) for s in lists])
-    feature = np.array([f for s in lists for f in s], dtype=np.int64)
+                empty.append(sum(not s for s in full))
+                sizes.append([len(s) for s in full if s])
+                features.append([f for s in full for f in s])
+            kinds = (pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()))
+            arrays = [part.column("doc_id"), part.column("y"), *[pa.array(c, t) for c, t in zip((empty, sizes, features), kinds)]]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "y", "empty", "sizes", "features"])
+
+    schema = "doc_id long, y int, empty long, sizes array<int>, features array<int>"
+    plain = sample.select(F.col("doc_id").cast("long"), "y", "text")
+    rows = plain.mapInArrow(bags, schema).toArrow().sort_by("doc_id").combine_chunks()  # flat arrays of numbers
+    y, empty = (rows.column(c).to_numpy().astype(np.float64) for c in ("y", "empty"))
+    n_full = np.array([len(x) for x in rows.column("sizes")], dtype=np.int64)
+    flat = lambda c: np.concatenate([x.flatten().to_numpy() for x in rows.column(c).chunks] or [np.zeros(0)]).astype(np.int64)
+    sizes, feature = flat("sizes"), flat("features")
+    doc = np.repeat(np.arange(len(y)), n_full)
+    sentence = np.repeat(np.arange(len(sizes)), sizes)
     theta = np.array([0.3 * chosen[f] for f in sorted(chosen)] + [-6.0])
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, 301):
-        z = theta[-1] + np.bincount(sentence, theta[feature], minlength=len(lists))
+        z = theta[-1] + np.bincount(sentence, theta[feature], minlength=len(sizes))
         p, p_empty = np.exp(-np.logaddexp(0, -z)), np.exp(-np.logaddexp(0, -theta[-1]))
-        none = empty * np.logaddexp(0, theta[-1]) + np.bincount(doc, np.logaddexp(0, z), minlength=len(rows))
+        none = empty * np.logaddexp(0, theta[-1]) + np.bincount(doc, np.logaddexp(0, z), minlength=len(y))
         clean = np.exp(-none)
         # Slope of the log-likelihood by the log chance of a clean document.
-        slope = np.where(y == 1, -clean / np.maximum(1 - clean, 1e-6), 1.0) / len(rows)
+        slope = np.where(y == 1, -clean / np.maximum(1 - clean, 1e-6), 1.0) / len(y)
         by_sentence = slope[doc] * p
         gradient = np.append(np.bincount(feature, by_sentence[sentence], minlength=len(column)), by_sentence.sum() + (slope * empty).sum() * p_empty)
         gradient[:-1] += 1e-5 * theta[:-1]
