@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -30,6 +31,8 @@ class Tables:
     def put(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` and read it back."""
         self.serial += 1
+        if self.serial % 8 == 0:
+            self.release()
         path = f"{self.base}/{self.serial:03d}-{name}"
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
@@ -46,8 +49,10 @@ class Tables:
                     drop_folder(self.spark, parent)
 
     def release(self) -> None:
-        """Let Spark delete the shuffle files of queries that are done: it does so once the driver
-        has collected their plans, which it otherwise does when its memory is full, not the disks."""
+        """Let Spark delete the shuffle files and generated classes of queries that are done: it does
+        so once the driver has collected their plans, of which Python objects must have let go. Left alone, it does that
+        when its heap is full, whatever the disks hold."""
+        gc.collect()
         self.spark.sparkContext._jvm.System.gc()
 
     def clear(self) -> None:

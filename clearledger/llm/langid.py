@@ -125,7 +125,7 @@ def train(docs: DataFrame, learn: Column, per_language: int = SAMPLE_PER_LANGUAG
     hashed = known.select("lang", "text", F.xxhash64("doc_id", "text").alias("h"))
     counts = known.groupBy("lang").agg(F.count("*").alias("n"))
     share = F.pmod("h", F.lit(_STEPS)) * F.col("n") < F.lit(_STEPS) * (2 * per_language + 50)
-    thinned = hashed.join(counts, "lang").filter(share).drop("n")
+    thinned = hashed.join(F.broadcast(counts), "lang").filter(share).drop("n")  # a row a language
     order = Window.partitionBy("lang").orderBy("h")
     sample = thinned.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= per_language).select("lang", "text")
 
