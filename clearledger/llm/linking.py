@@ -20,7 +20,7 @@ from clearledger.llm.common import Tables, text_slices
 from clearledger.llm.components import connected_components
 
 SHORT_LIST = 64
-BLOCK = 128
+BLOCK = 512
 GROUP_ELEMENTS = 300_000
 _BITS = 1 << 26
 _BUCKETS = 1 << 20
@@ -112,7 +112,7 @@ def _shared(left: np.ndarray, right: np.ndarray) -> int:
 
 
 def compare(tables: Tables, sets: Sets, texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(a, b, both, any): sizes of intersection and union of each pair (a, b, n_a, n_b).
+    """(a, b, both, any, n): sizes of intersection and union of each pair (a, b, n_a, n_b), and of b.
 
     The pairs of one ``a`` are dealt over as many groups as bound the elements in each, so that
     a set with many partners does not fall to one task.
@@ -136,11 +136,11 @@ def compare(tables: Tables, sets: Sets, texts: DataFrame, pairs: DataFrame) -> D
                     group, own = (a, salt), x
                 elif group == (a, salt):
                     both = _shared(own, x)
-                    found.append((a, i, both, len(own) + len(x) - both))
-            columns = list(zip(*found)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "both", "any"])
+                    found.append((a, i, both, len(own) + len(x) - both, len(x)))
+            columns = list(zip(*found)) or [[]] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "both", "any", "n"])
 
-    told = tables.put(rows.mapInArrow(run, "a long, b long, both long, any long"), "compared")
+    told = tables.put(rows.mapInArrow(run, "a long, b long, both long, any long, n long"), "compared")
     tables.drop(dealt)
     return told
 
@@ -151,31 +151,38 @@ def linked(threshold: int = 75) -> Column:
 
 def _common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """How many elements each set of ``left`` has in common with each of ``right``: products of
-    0-1 matrices, some thousand elements at a time."""
-    values = np.concatenate([*left, *right]) if left or right else np.zeros(0, dtype=np.uint64)
-    _, number = np.unique(values, return_inverse=True)
-    owner = np.repeat(np.arange(len(left) + len(right)), [len(x) for x in (*left, *right)])
+    0-1 matrices, some thousand elements at a time. An array on both sides is one set; elements of a
+    single set, most of them by far, are left out first."""
+    made = list({id(x): x for x in (*left, *right)}.values())
+    place = {id(x): k for k, x in enumerate(made)}
+    at_left, at_right = ([place[id(x)] for x in side] for side in (left, right))
+    _, number, times = np.unique(np.concatenate([np.zeros(0, dtype=np.uint64), *made]), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(made)), [len(x) for x in made])
+    several = times > 1
+    inside = several[number]
+    number, owner = (np.cumsum(several) - 1)[number[inside]], owner[inside]
     order = np.argsort(number, kind="stable")
     number, owner = number[order], owner[order]
     total = np.zeros((len(left), len(right)))
     for first in range(0, int(number[-1]) + 1 if len(number) else 0, _COLUMNS):
         part = slice(*np.searchsorted(number, [first, first + _COLUMNS]))
-        table = np.zeros((len(left) + len(right), _COLUMNS), dtype=np.float32)
+        table = np.zeros((len(made), _COLUMNS), dtype=np.float32)
         table[owner[part], number[part] - first] = 1
-        total += table[: len(left)] @ table[len(left) :].T
-    return total.astype(np.int64)
+        total += table[at_left] @ table[at_right].T
+    with_itself = np.equal.outer(at_left, at_right)
+    whole = np.array([len(x) for x in right], dtype=np.float64)
+    return np.where(with_itself, whole, total).astype(np.int64)
 
 
 def _blocks_linked(elements: Callable[[list[str]], list[np.ndarray]], group: pa.Table) -> pa.Table:
     """A spanning forest of the links across two blocks, between different components."""
     ids, comps = group.column("id").to_numpy(), group.column("component").to_numpy()
-    minor = np.array(group.column("minor").to_pylist(), dtype=bool)
+    left, right = (np.flatnonzero(np.array(group.column(c).to_pylist(), dtype=bool)) for c in ("left", "right"))
     made = elements(group.column("text").to_pylist())
-    at = np.flatnonzero(minor)
     sizes = np.array([len(x) for x in made], dtype=np.int64)
-    both = _common_counts([made[i] for i in at], made)
-    near = 100 * both >= 75 * (sizes[at][:, None] + sizes[None, :] - both)
-    near &= comps[at][:, None] != comps[None, :]
+    both = _common_counts([made[i] for i in left], [made[i] for i in right])
+    near = 100 * both >= 75 * (sizes[left][:, None] + sizes[right][None, :] - both)
+    near &= comps[left][:, None] != comps[right][None, :]
     parent: dict[int, int] = {}
 
     def root(c: int) -> int:
@@ -185,10 +192,10 @@ def _blocks_linked(elements: Callable[[list[str]], list[np.ndarray]], group: pa.
 
     found = []
     for i, j in zip(*np.nonzero(near)):
-        c, d = root(int(comps[at[i]])), root(int(comps[j]))
+        c, d = root(int(comps[left[i]])), root(int(comps[right[j]]))
         if c != d:
             parent[max(c, d)] = min(c, d)
-            found.append((int(ids[at[i]]), int(ids[j])))
+            found.append((int(ids[left[i]]), int(ids[right[j]])))
     return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)] or [pa.array([], pa.int64())] * 2, ["a", "b"])
 
 
@@ -251,7 +258,7 @@ def _balls(
 ) -> tuple[DataFrame | None, list[DataFrame]]:
     """Compare long lists with centres until every member is near one.
 
-    Gives (c, id, both, any, home) of all comparisons, and lists that became short. A member is at
+    Gives (c, id, both, any, n, home) of all comparisons, and lists that became short. A member is at
     home with the least centre of its list that it has a similarity of 1/2 or more with. A partner
     of it is then within 1/4 of that centre, by the triangle inequality of the Jaccard distance,
     so all its pairs of that list are found in that ball; the others stay in the list. Centres
@@ -273,7 +280,7 @@ def _balls(
         ask = near.groupBy(F.col("c").alias("a"), F.col("id").alias("b")).agg(F.max("n_c").alias("n_a"), F.max("n").alias("n_b"))
         if balls is not None:
             ask = ask.join(balls.select(F.col("c").alias("a"), F.col("id").alias("b")), ["a", "b"], "left_anti")
-        told = compare(tables, sets, texts, ask).select(F.col("a").alias("c"), F.col("b").alias("id"), "both", "any")
+        told = compare(tables, sets, texts, ask).select(F.col("a").alias("c"), F.col("b").alias("id"), "both", "any", "n")
         balls = told if balls is None else tables.put(balls.unionByName(told), "balls")
         inner = met.join(balls.filter("2 * both >= any").select("c", "id"), ["c", "id"])
         inner = tables.put(inner.groupBy("key", "id").agg(F.min("c").alias("c")), "inner")
@@ -304,27 +311,35 @@ def _balls(
 def _inside_balls(tables: Tables, sets: Sets, texts: DataFrame, balls: DataFrame, components: DataFrame) -> DataFrame:
     """Links between different components inside the balls, by blocks of members.
 
-    Only balls that some member is at home in count, and there only pairs with a member outside
-    the ball's largest component are left to compare.
+    A pair counts in the balls that one of the two is at home in, if it is of two components, so
+    one of the two is outside the ball's largest one. That leaves two parts of a ball: members at
+    home and outside it with all members, and members at home and inside it with the others that
+    are outside. The sides of a part are cut into blocks of ``BLOCK`` sets and
+    ``GROUP_ELEMENTS`` elements; each pair of blocks is a group of its own.
     """
     used = balls.filter("home").select("c").distinct()
-    outer = balls.filter("4 * both >= any").join(used, "c", "left_semi").select("c", "id")
+    outer = balls.filter("4 * both >= any").join(used, "c", "left_semi").select("c", "id", "n", "home")
     members = outer.join(components, "id", "left").withColumn("component", F.coalesce("component", "id"))
     counts = members.groupBy("c", "component").agg(F.count("*").alias("n"))
-    largest = counts.groupBy("c").agg(F.max_by("component", F.struct("n", "component")).alias("major"), F.sum("n").alias("size"), F.count("*").alias("kinds"))
-    open_balls = largest.filter("kinds > 1")
-    marked = members.join(open_balls, "c").withColumn("minor", F.col("component") != F.col("major"))
-    minors = marked.groupBy("c").agg(F.sum(F.col("minor").cast("long")).alias("m"))
-    marked = marked.join(minors, "c").withColumn("rows", F.ceil(F.col("m") / BLOCK)).withColumn("columns", F.ceil(F.col("size") / BLOCK))
-    row = F.pmod(F.xxhash64("id"), F.col("rows"))
-    column = F.pmod(F.xxhash64("id", F.lit(1)), F.col("columns"))
-    pick = ["c", "id", "component"]
-    across = marked.filter("minor").select(*pick, F.lit(True).alias("minor"), row.alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("columns") - 1)).alias("j"))
-    down = marked.select(*pick, F.lit(False).alias("minor"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)).alias("i"), column.alias("j"))
-    cells = across.union(down).groupBy("c", "i", "j", "id", "component").agg(F.max("minor").alias("minor"))
+    largest = counts.groupBy("c").agg(F.max_by("component", F.struct("n", "component")).alias("major"), F.count("*").alias("kinds"))
+    marked = members.join(largest.filter("kinds > 1"), "c").withColumn("minor", F.col("component") != F.col("major"))
+    role = lambda part, left, when: F.struct(F.lit(part).alias("part"), F.lit(left).alias("left"), when.alias("holds"))
+    home, minor = F.col("home"), F.col("minor")
+    roles = F.array(role(0, True, home & minor), role(0, False, F.lit(True)), role(1, True, home & ~minor), role(1, False, ~home & minor))
+    marked = marked.select("c", "id", "n", "component", F.explode(F.filter(roles, lambda x: x["holds"])).alias("role"))
+    marked = marked.select("c", "id", "n", "component", "role.part", "role.left")
+    left = F.col("left")
+    blocks = lambda side: F.greatest(F.ceil(F.count_if(side) / BLOCK), F.ceil(F.sum(F.when(side, F.col("n")).otherwise(0)) / GROUP_ELEMENTS))
+    sides = marked.groupBy("c", "part").agg(blocks(left).alias("rows"), blocks(~left).alias("columns")).filter("rows > 0 and columns > 0")
+    dealt = marked.join(sides, ["c", "part"])
+    own = F.pmod(F.xxhash64("id", "left"), F.when(left, F.col("rows")).otherwise(F.col("columns")))
+    facing = F.when(left, F.col("columns")).otherwise(F.col("rows"))
+    dealt = dealt.select("c", "part", "id", "component", "left", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), facing - 1)).alias("facing"))
+    at = [F.when(left, F.col(x)).otherwise(F.col(y)).alias(z) for x, y, z in (("own", "facing", "i"), ("facing", "own", "j"))]
+    cells = dealt.select("c", "part", *at, "id", "component", "left")
+    cells = cells.groupBy("c", "part", "i", "j", "id", "component").agg(F.max("left").alias("left"), F.max(~left).alias("right"))
     elements = sets.elements
-    loaded = cells.join(texts, "id")
-    found = loaded.groupBy("c", "i", "j").applyInArrow(lambda group: _blocks_linked(elements, group), "a long, b long")
+    found = cells.join(texts, "id").groupBy("c", "part", "i", "j").applyInArrow(lambda group: _blocks_linked(elements, group), "a long, b long")
     return tables.put(found, "inside")
 
 
