@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from clearledger.llm import embeddings
-from clearledger.llm.embeddings import near_duplicates, plan
+from clearledger.llm.embeddings import near_duplicates, plan, sketch_plan
 
 
 def usable(v):
@@ -90,3 +90,32 @@ def test_random_pairs_at_the_threshold_are_found(spark):
         v = 0.931 * u + math.sqrt(1 - 0.931**2) * w / np.linalg.norm(w)
         rows += [(2 * i, u.tolist(), 0), (2 * i + 1, v.tolist(), 0)]
     check(spark, rows)
+
+
+def test_sketch_keeps_the_chance_to_miss():
+    differs = math.acos(0.93) / math.pi
+    for bits in (1, 3, 4, 7, 21, 40):
+        per, most = sketch_plan(bits, 0.93, 5e-7)
+        n = 2 * per * bits
+        assert per * bits <= 64 and n >= 64
+        chance = lambda m: sum(math.comb(n, k) * differs**k * (1 - differs) ** (n - k) for k in range(m + 1, n + 1))
+        assert chance(most) <= 5e-7 < chance(most - 1)
+
+
+def test_doubles_are_compared_as_doubles(spark):
+    u = [1.0, 0.0, 0.0]
+    off = lambda c: [c, math.sqrt(1 - c * c), 0.0]
+    rows = [(1, u, 0), (2, off(0.93 + 1e-12), 0), (3, [0.0, 0.0, 1.0], 0), (4, [off(0.93 - 1e-12)[0], 0.0, off(0.93 - 1e-12)[1]], 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    assert {r.vec_id: (r.n_links, r.component_id) for r in near_duplicates(spark, df).collect()} == {
+        1: (1, 1), 2: (1, 1), 3: (0, 3), 4: (0, 4),
+    }
+
+
+def test_one_bucket_in_many_blocks(spark, monkeypatch):
+    """A hot bucket: near copies of one vector, blocks of a few rows, some of them empty."""
+    monkeypatch.setattr(embeddings, "BLOCK", 3)
+    monkeypatch.setattr(embeddings, "CHUNK", 2)
+    rng = np.random.default_rng(13)
+    centre = rng.standard_normal(24)
+    check(spark, [(i, (centre + 0.02 * rng.standard_normal(24)).tolist(), 0) for i in range(60)])
