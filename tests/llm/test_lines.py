@@ -214,3 +214,31 @@ def test_common_counts():
     want = [[len(np.intersect1d(a, b)) for b in sets] for a in sets[2:]]
     assert linking._common_counts(sets[2:], sets).tolist() == want
     assert linking._common_counts([], []).shape == (0, 0)
+
+
+def test_keys_are_dealt_once(spark, tables, monkeypatch):
+    rows = [(1, 10, 8), (1, 11, 9), (1, 11, 9), (2, 10, 8), (3, 12, 100), (3, 13, 70), (4, 12, 100), (4, 13, 70), (4, 10, 8), (None, 10, 8), (None, 11, 9)]
+    keys = spark.createDataFrame(rows, "key long, id long, n long").repartition(3, F.rand(5))
+    plans, put = {}, tables.put
+
+    def recorded(df, name):
+        df.collect()
+        plans[name] = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        return put(df, name)
+
+    monkeypatch.setattr(tables, "put", recorded)
+    lists = {tuple(r) for r in linking.shared_keys(tables, keys).select("key", "id", "n", "size").collect()}
+    assert lists == {(1, 10, 8, 2), (1, 11, 9, 2), (4, 12, 100, 3), (4, 13, 70, 3), (4, 10, 8, 3)}
+    assert list(plans) == ["keys", "lists"]
+    assert plans["keys"].count("REPARTITION_BY_COL") == 1 + plans["keys"].count("ReusedExchange") == 2
+
+
+def test_prefixes_leave_out_what_no_other_set_has():
+    counts = np.ones(linking._BUCKETS, dtype=np.int64)
+    counts[5:12] = 3
+    own = np.arange(3, 13, dtype=np.uint64)  # 3 of 10 are the prefix: 3, 4 and 12 are in no other set
+    assert linking._prefix(own, counts).tolist() == []
+    counts[4] = 2
+    assert linking._prefix(own, counts).tolist() == [4]
+    counts[:] = 2
+    assert linking._prefix(own, counts).tolist() == [3, 4, 5]
