@@ -1,6 +1,13 @@
+from threading import Barrier
 from types import SimpleNamespace
 
-from clearledger.workload import queries
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from clearledger.functions import parsing
+from clearledger.sources.layers import Layout, write_all
+from clearledger.workload import bronze, queries
 
 
 def test_run_all_stored_runs_on_every_call(monkeypatch):
@@ -15,3 +22,49 @@ def test_run_all_stored_runs_on_every_call(monkeypatch):
     assert [queries.stored_completeness(spark, "sf") for _ in range(2)] == ["folder0"] * 2
     assert [queries.run_all_stored(spark, "sf") for _ in range(2)] == ["folder1", "folder2"]
     assert runs == ["folder0", "folder1", "folder2"]
+
+
+def test_tables_of_a_layer_are_written_at_once():
+    both = Barrier(2)
+    layout = SimpleNamespace(write=lambda df, layer, entity: both.wait(timeout=10))
+    write_all(layout, {"bank": None, "branch": None}, "bronze")
+
+
+def test_a_failed_write_of_a_layer_is_not_lost():
+    def fail(df, layer, entity):
+        raise OSError(entity)
+
+    with pytest.raises(OSError, match="bank"):
+        write_all(SimpleNamespace(write=fail), {"bank": None}, "bronze")
+
+
+def parts_of(folder):
+    files = [pq.read_metadata(f) for f in folder.glob("*.parquet")]
+    return [m.row_group(g).column(c) for m in files for g in range(m.num_row_groups) for c in range(m.num_columns)]
+
+
+def test_stored_texts_and_times_are_written_plain(spark, tmp_path):
+    df = spark.range(100).select(F.lit("same").alias("text"), F.timestamp_seconds("id").alias("time"))
+    Layout(str(tmp_path)).write(df, "bronze", "bank")
+    found = parts_of(tmp_path / "bronze" / "Bank")
+    assert found and not any("DICTIONARY" in e for c in found for e in c.encodings)
+    assert sorted(Layout(str(tmp_path)).read(spark, "bronze", "bank").collect()) == sorted(df.collect())
+
+
+def test_write_options_bring_dictionaries_back(spark, tmp_path):
+    df = spark.range(100).select(F.lit("same").alias("text"))
+    Layout(str(tmp_path), write_options={"parquet.enable.dictionary": "true"}).write(df, "bronze", "bank")
+    assert all(any("DICTIONARY" in e for e in c.encodings) for c in parts_of(tmp_path / "bronze" / "Bank"))
+
+
+@pytest.mark.parametrize("entity", bronze.BRONZE)
+def test_raw_texts_are_made_after_rows_multiply(spark, sf_dir, entity):
+    plan = bronze.BRONZE[entity](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    before = plan[plan.index("Generate explode") :]
+    assert "date_format" not in before and "concat" not in before
+
+
+def test_one_match_tells_all_layouts_of_a_length(spark):
+    found, rest = parsing._classified(F.col("c"), parsing.TIMESTAMP_FORMATS, "timestamp")
+    lengths = {len(x.shape) for fmt in parsing.TIMESTAMP_FORMATS for x in parsing.layouts(fmt)}
+    assert not rest and str(found).upper().count("RLIKE") == len(lengths)
