@@ -15,6 +15,7 @@ from clearledger.llm.common import Tables
 
 SEGMENT = 4096  # turns of a conversation that one row holds at most
 FOREST_TURNS = 1 << 16  # turns that one local forest is built of, about
+_OF_BASE = range(-4, 5)  # what Spark's remainder by 5 may be
 _ROWS = (
     "path long, seg long, depth long, p1 long, p2 long, n long, least long, children long, leaves long, saved long, bytes long, "
     "goes_on boolean, parent long, q1 long, q2 long"
@@ -40,7 +41,7 @@ def numbered(tables: Tables, conversations: DataFrame) -> DataFrame:
     )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, before = None, 0
+        first, last, before = None, None, 0
         for batch in batches:
             conv = batch.column("conv_id").to_numpy()
             if not len(conv):
@@ -50,16 +51,22 @@ def numbered(tables: Tables, conversations: DataFrame) -> DataFrame:
             pos = np.arange(len(conv)) - np.repeat(starts, sizes)
             if conv[0] == last:
                 pos[: sizes[0]] += before
-            last, before = conv[-1], int(pos[-1]) + 1
+            if first is None or conv[0] == first[0]:
+                first = int(conv[0]), int(pos[sizes[0] - 1]) + 1
+            last, before = int(conv[-1]), int(pos[-1]) + 1
+            part = batch.column("part")[0].as_py()
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pos)], [*batch.schema.names, "pos"])
+        if first:
+            edges = dict([first, (last, before)])
+            none = pa.nulls(len(edges), pa.int64())
+            columns = [list(edges), pa.array([part] * len(edges), pa.int32()), none, none, none, list(edges.values())]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["conv_id", "part", "a", "b", "bytes", "pos"])
 
     stored = tables.put(hashed.mapInArrow(run, "conv_id long, part int, a long, b long, bytes long, pos long"), "turns")
-    runs = stored.groupBy("conv_id", "part").agg(F.count("*").alias("n"))
-    by_conv = Window.partitionBy("conv_id")
-    spans = runs.withColumn("parts", F.count("*").over(by_conv)).filter("parts > 1")
-    shifts = spans.select("conv_id", "part", (F.sum("n").over(by_conv.orderBy("part")) - F.col("n")).alias("shift"))
-    shifts = F.broadcast(tables.put(shifts, "shifts"))  # two rows a partition at most
-    placed = stored.join(shifts, ["conv_id", "part"], "left")
+    edges = stored.filter("bytes is null")  # counts of each task's first and last conversation, which others may go on with
+    by_conv = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = edges.select("conv_id", "part", F.sum("pos").over(by_conv).alias("shift")).filter("shift is not null")
+    placed = stored.filter("bytes is not null").join(F.broadcast(shifts), ["conv_id", "part"], "left")
     return placed.select("conv_id", (F.col("pos") + F.coalesce("shift", F.lit(0))).alias("pos"), "a", "b", "bytes")
 
 
@@ -79,19 +86,23 @@ def rebuilt(spark: SparkSession, conversations: DataFrame, tables: Tables | None
     Other columns are ignored, whatever their names. An empty table gives no rows.
     """
     tables = tables or Tables(spark, "trie")
-    turns = tables.put(numbered(tables, conversations), "numbered")
-    base = (F.col("conv_id") - F.col("conv_id") % 5).alias("base")
-    lengths = turns.groupBy("conv_id").agg(F.count("*").alias("n"))
-    bases = lengths.filter("conv_id % 5 = 0").select(F.col("conv_id").alias("base"), F.col("n").alias("n_base"))
-    found = lengths.select("conv_id", "n", base, _kept(F.col("conv_id")).alias("h")).join(bases, "base", "left")
-    info = tables.put(found.withColumn("given", F.least("h", F.coalesce("n_base", F.lit(0)))), "info")
-    heads = turns.filter("conv_id % 5 = 0 and pos < 8").withColumnRenamed("conv_id", "base")
-    given = info.filter("given > 0").join(heads, "base").filter("pos < given").select("conv_id", F.col("pos").alias("depth"), "a", "b", "bytes")
-    rest = turns.filter(F.col("pos") >= _kept(F.col("conv_id"))).join(info.select("conv_id", "h", "given"), "conv_id")
-    own = rest.select("conv_id", (F.col("pos") - F.col("h") + F.col("given")).alias("depth"), "a", "b", "bytes")
-    none = info.filter("given = 0 and n <= h").select("conv_id", *[F.lit(None).cast("long").alias(c) for c in ("depth", "one", "two", "bytes")])
+    turns = numbered(tables, conversations)
+    turns = turns.withColumn("base", F.col("conv_id") - F.col("conv_id") % 5)
+    # One row a base, with the number of turns of each conversation that begins with it.
+    counts = turns.groupBy("base").agg(*[F.count_if(F.col("conv_id") - F.col("base") == r).alias(f"n{r}") for r in _OF_BASE])
+    member = lambda r: F.struct(
+        (F.col("base") + r).alias("id"), F.col(f"n{r}").alias("n"), _kept(F.col("base") + r).alias("h"), F.least(_kept(F.col("base") + r), F.col("n0")).alias("given")
+    )
+    groups = counts.select("base", F.filter(F.array(*[member(r) for r in _OF_BASE]), lambda m: m["n"] > 0).alias("members"))
+    target = lambda conv_id, depth: F.struct(conv_id.alias("conv_id"), depth.alias("depth"))
+    id_, pos = F.col("conv_id"), F.col("pos")
+    own = F.transform(F.filter("members", lambda m: (m["id"] == id_) & (pos >= m["h"])), lambda m: target(id_, pos - m["h"] + m["given"]))
+    given = F.transform(F.filter("members", lambda m: (id_ == F.col("base")) & (pos < m["given"])), lambda m: target(m["id"], pos))
+    dealt = turns.join(groups, "base").select(F.explode(F.concat(own, given)).alias("to"), "a", "b", "bytes").select("to.*", "a", "b", "bytes")
+    none = groups.select(F.explode(F.filter("members", lambda m: (m["given"] == 0) & (m["n"] <= m["h"]))).alias("m"))
+    none = none.select(F.col("m.id").alias("conv_id"), *[F.lit(None).cast("long").alias(c) for c in ("depth", "one", "two", "bytes")])
     at = F.col("depth")
-    hashed = given.union(own).select(
+    hashed = dealt.select(
         "conv_id", "depth", F.xxhash64(at, "a", "b").alias("one"), F.xxhash64(F.lit(7), "b", at, "a").alias("two"), "bytes"
     )
     return tables.put(hashed.union(none), "rebuilt")
@@ -334,7 +345,7 @@ def _nodes(tables: Tables, entries: DataFrame, segment: int, forest_turns: int)
     anchors = whole.filter("n > 0").select("depth", "p1", "p2", "least").union(at_border)
     known = anchors.select((F.col("depth") + 1).alias("depth"), F.col("p1").alias("q1"), F.col("p2").alias("q2"), F.col("least").alias("by_key"))
     named = both.join(tables.put(known, "anchors"), ["depth", "q1", "q2"], "left")
-    return tables.put(named.select(*columns, F.coalesce("parent", "by_key").alias("parent")), "nodes")
+    return named.select(*columns, F.coalesce("parent", "by_key").alias("parent"))
 
 
 def _ends(convs: DataFrame) -> DataFrame:
@@ -410,18 +421,24 @@ def prefix_trie(
         ),
         "segments",
     )
-    convs = segments.groupBy("conv_id").agg(F.sum("k").alias("depth"), F.bit_xor("x1").alias("p1"), F.bit_xor("x2").alias("p2"))
+    several = not segments.filter("seg > 0").isEmpty()
     zero = F.lit(0).cast("long")
     none = turns.filter("depth is null").select("conv_id", zero.alias("depth"), zero.alias("p1"), zero.alias("p2"))
-    convs = tables.put(convs.union(none), "convs")
+    if several:
+        convs = segments.groupBy("conv_id").agg(F.sum("k").alias("depth"), F.bit_xor("x1").alias("p1"), F.bit_xor("x2").alias("p2"))
+        convs = tables.put(convs.union(none), "convs")
+    else:
+        convs = segments.select("conv_id", F.col("k").alias("depth"), F.col("x1").alias("p1"), F.col("x2").alias("p2")).union(none)
     classes = tables.put(convs.groupBy("depth", "p1", "p2").agg(F.min("conv_id").alias("least"), F.count("*").alias("n")), "classes")
-    before = Window.partitionBy("conv_id").orderBy("seg").rowsBetween(Window.unboundedPreceding, -1)
-    long_ = segments.select("conv_id", "seg", "x1", "x2").join(segments.filter("seg = 1").select("conv_id"), "conv_id", "left_semi")
-    starts = long_.select("conv_id", "seg", F.bit_xor("x1").over(before).alias("g1"), F.bit_xor("x2").over(before).alias("g2")).filter("seg > 0")
-    starts = tables.put(starts, "starts")
-    several = not starts.isEmpty()
     heads = classes.select(F.col("least").alias("conv_id"), "n", F.col("depth").alias("length"))
-    entries = segments.join(heads, "conv_id").join(starts, ["conv_id", "seg"], "left")
+    entries = segments.join(heads, "conv_id")
+    if several:
+        before = Window.partitionBy("conv_id").orderBy("seg").rowsBetween(Window.unboundedPreceding, -1)
+        long_ = segments.select("conv_id", "seg", "x1", "x2").join(segments.filter("seg = 1").select("conv_id"), "conv_id", "left_semi")
+        starts = long_.select("conv_id", "seg", F.bit_xor("x1").over(before).alias("g1"), F.bit_xor("x2").over(before).alias("g2")).filter("seg > 0")
+        entries = entries.join(tables.put(starts, "starts"), ["conv_id", "seg"], "left")
+    else:
+        entries = entries.withColumns({"g1": zero, "g2": zero})
     columns = ["seg", "g1", "g2", "codes", "bytes", "n", "least", "more", "leaf0", "saved0"]
     no_list = F.array().cast("array<long>")
     entries = entries.select(

@@ -92,3 +92,16 @@ def test_query_matches_its_sql(spark, sf_dir):
     name = "op12_conversation_prefix_trie"
     with oracle_connection(sf_dir) as con:
         assert differences(REGISTRY[name](spark, sf_dir), con, ORACLE[name]) == []
+
+
+def test_short_conversations_write_few_tables(spark, tmp_path, monkeypatch):
+    rows = [(c, i, "user", f"t{i * (c % 3)}") for c in (-8, -5, -4, 0, 1, 4, 5, 9, 12, 15) for i in range(40 if c in (0, 5) else c % 7)]
+    names, put = [], Tables.put
+    monkeypatch.setattr(Tables, "put", lambda self, df, name: names.append(name) or put(self, df, name))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")  # conversations 0 and 5 lie in several ranges
+    try:
+        assert nodes(spark, rows, tmp_path) == brute(rows)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(names) <= 10
