@@ -242,3 +242,31 @@ def test_prefixes_leave_out_what_no_other_set_has():
     assert linking._prefix(own, counts).tolist() == [4]
     counts[:] = 2
     assert linking._prefix(own, counts).tolist() == [3, 4, 5]
+
+
+def test_arrays_of_keys_are_dealt_in_parcels(spark, tables, monkeypatch):
+    rows = [([1, 2], 10, 8), ([1], 11, 9), ([1], 11, 9), ([3, 4], 12, 100), ([3, 4], 13, 70), ([4], 10, 8), (None, 10, 8), ([], 11, 9)]
+    keys = spark.createDataFrame(rows, "key array<long>, id long, n long").repartition(3, F.rand(5))
+    told = lambda lists: {tuple(r) for r in lists.select("key", "id", "n", "size").collect()}
+    assert told(linking.shared_keys_of(tables, keys)) == {(1, 10, 8, 2), (1, 11, 9, 2), (4, 12, 100, 3), (4, 13, 70, 3), (4, 10, 8, 3)}
+    assert told(linking.shared_keys_of(tables, keys.limit(0))) == set()
+    rng = random.Random(3)
+    flat = [(k * 2**40 - 2**62, rng.randrange(400)) for k in (rng.choice((7, rng.randrange(900))) for _ in range(4000))]
+    flat = [(k, i, 90 + i % 7) for k, i in flat]
+    arrays = spark.createDataFrame([([k, k + 1], i, n) for k, i, n in flat], "key array<long>, id long, n long")
+    both = spark.createDataFrame([(k + d, i, n) for k, i, n in flat for d in (0, 1)], "key long, id long, n long")
+    want = told(linking.shared_keys(tables, both))
+    assert len(want) > 1000 and told(linking.shared_keys_of(tables, arrays)) == want
+    batches = list(linking._packed(arrays, 5).toArrow().sort_by("bucket").to_batches(max_chunksize=3))
+    assert all(len(x.as_py()) <= linking.PARCEL * linking._ROW.itemsize for b in batches for x in b.column("rows"))
+    monkeypatch.setattr(linking, "KEYS_AT_ONCE", 50)  # far less than a key has
+    held = [r for b in linking._several(batches) for r in zip(*b.to_pydict().values())]
+    assert set(held) == {r[:3] for r in want}
+
+
+def test_texts_with_normal_spaces_are_lowered_at_once(monkeypatch):
+    texts = ["a b\nΑΣ\nΣ c\n\nİx", "A  b\n c", "a\tb", " a", "a ", "x \ny", "x y", "x y\nz", "a\r\nb", "a\x1cb", "ΟΔΟΣ\nΣΟΦΟΣ a.\nß", "\n\n", "", None, "İ" * 3 + "\nab"]
+    got = [list(lines._lines_of(t, least)) for t in texts for least in (1, 4)]
+    assert sum(lines._plain(t) for t in texts if t) == 4
+    monkeypatch.setattr(lines, "_plain", lambda text: False)
+    assert got == [list(lines._lines_of(t, least)) for t in texts for least in (1, 4)]
