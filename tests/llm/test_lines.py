@@ -270,3 +270,23 @@ def test_texts_with_normal_spaces_are_lowered_at_once(monkeypatch):
     assert sum(lines._plain(t) for t in texts if t) == 4
     monkeypatch.setattr(lines, "_plain", lambda text: False)
     assert got == [list(lines._lines_of(t, least)) for t in texts for least in (1, 4)]
+
+
+def test_lists_are_sized_where_they_are_made(spark, tables, monkeypatch):
+    rng = random.Random(4)
+    flat = [(k, rng.randrange(300), 90) for k in (rng.choice((7, rng.randrange(900))) for _ in range(2000))]
+    members = {k: {i for x, i, _ in flat if x == k} for k, _, _ in flat}
+    want = {(k, i, 90, len(ids)) for k, ids in members.items() if len(ids) > 1 for i in ids}
+    arrays = spark.createDataFrame([([k], i, n) for k, i, n in flat], "key array<long>, id long, n long")
+    names, put = [], tables.put
+    monkeypatch.setattr(tables, "put", lambda df, name: names.append(name) or put(df, name))
+    got = [tuple(r) for r in linking.shared_keys_of(tables, arrays).select("key", "id", "n", "size").collect()]
+    assert len(got) == len(want) and set(got) == want
+    assert names == ["lists"]
+    batches = linking._packed(arrays, 3).toArrow().sort_by("bucket").to_batches(max_chunksize=3)
+    monkeypatch.setattr(linking, "KEYS_AT_ONCE", 60)  # less than the frequent key has
+    held = [r for b in linking._several(batches, sized=True) for r in zip(*b.to_pydict().values())]
+    parts = {r[0] for r in held if r[3] is None}
+    assert 7 in parts and len(parts) < len(members) / 2
+    assert {r for r in held if r[0] not in parts} == {r for r in want if r[0] not in parts}
+    assert {r[:3] for r in held if r[0] in parts} == {r[:3] for r in want if r[0] in parts} and all(r[3] is None for r in held if r[0] in parts)

@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pytest
 
-from clearledger.llm import linking
+from clearledger.llm import common, linking
 from clearledger.llm.minhash import KEPT, LEAST_OF_UNION, near_duplicates
 from clearledger.llm.shingles import text_shingles
 
@@ -109,6 +109,24 @@ def test_contained_sets_with_common_parts(spark, docs):
     assert sum(want[2001 + 2 * i] != 2001 + 2 * i for i in range(60)) > 30
 
 
+def test_lists_that_centres_leave_are_compared_by_blocks(spark, docs, monkeypatch):
+    """Documents that a common passage dominates meet one centre by their prefixes, then each other."""
+    rng = random.Random(14)
+    monkeypatch.setattr(linking, "SHORT_LIST", 3)
+    passage = [f"p{i}" for i in range(60)]
+    pairs = []
+    for i in range(80):
+        own = [f"own{i}x{j}" for j in range(rng.randint(20, 60))]
+        pairs.append((i, " ".join([*passage, *own])))
+        if i % 4 == 0:
+            pairs.append((1000 + i, " ".join([*passage, *own[:-1]])))
+    names, put = [], common.Tables.put
+    monkeypatch.setattr(common.Tables, "put", lambda self, df, name: names.append(name) or put(self, df, name))
+    want = check(spark, docs(pairs), pairs)
+    assert sum(want[1000 + i] == i for i in range(0, 80, 4)) == 20
+    assert 1 <= names.count("centres") <= 2
+
+
 def test_sketches_of_unions():
     rng = np.random.default_rng(13)
     low = 0
