@@ -1,4 +1,5 @@
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from clearledger.llm import common
@@ -16,3 +17,8 @@ def test_batches_for_python_are_bounded_by_bytes(spark):
     assert sum(r.rows for r in rows) == 2000
     assert max(r.bytes for r in rows) < 2 * common.BATCH_BYTES
     assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
+
+
+def test_intermediate_tables_are_dense(spark, tmp_path):
+    table = common.Tables(spark, "test").put(spark.range(10), "ids")
+    assert {pq.read_metadata(f.removeprefix("file:").replace("//", "")).row_group(0).column(0).compression for f in table.inputFiles()} == {"ZSTD"}

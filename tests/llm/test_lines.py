@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -290,3 +291,19 @@ def test_lists_are_sized_where_they_are_made(spark, tables, monkeypatch):
     assert 7 in parts and len(parts) < len(members) / 2
     assert {r for r in held if r[0] not in parts} == {r for r in want if r[0] not in parts}
     assert {r[:3] for r in held if r[0] in parts} == {r[:3] for r in want if r[0] in parts} and all(r[3] is None for r in held if r[0] in parts)
+
+
+def test_keys_of_lines_are_dealt_as_they_are_made(spark, tables, docs, monkeypatch):
+    texts = ["the very first line of this text\nshort\n" + "a line that several texts have in common\n" * 2] * 3 + ["x", None, ""]
+    names, put = [], tables.put
+    stored = []
+    monkeypatch.setattr(tables, "put", lambda df, name: names.append(name) or stored.extend(df.dtypes) or put(df, name))
+    rows = lines.fuzzy_lines(spark, docs(enumerate(texts)).repartition(3, "doc_id"), tables=tables, least_chars=1)
+    assert rows.count() == 3 * 4 + 1 and rows.filter("kept").count() == 4
+    assert names[:2] == ["places", "lists"] and not [kind for _, kind in stored if kind.startswith("array")]
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    made = [pa.Table.from_batches([b]) for b in lines._line_keys([batch, batch], 1)]
+    assert sum(t.num_rows for t in made) == 2  # once a task, none for lines without a shingle
+    assert all(len(k) == lines.BANDS for t in made for k in t.column("key").to_pylist())
+    want = {lines.line_id(x): len(lines.char_shingles(x)) for x in texts[0].split("\n") if len(x) >= lines.WIDTH}
+    assert {i: n for t in made for i, n in zip(t.column("id").to_pylist(), t.column("n").to_pylist())} == want
